@@ -9,9 +9,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import table
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["by_size", "shared_dir", "table", "texts_of", "vocabulary", "written"]
 
 
 def vocabulary(name: str) -> str:

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe_reuse import op3_bpe_chunk_reuse
+from .chat import OP9_SQL, op9_chat_fingerprints
+from .minhash import op5_probminhash_near_dedup
 from .packing import op1_pack_karmarkar_karp
+from .quality import op7_quality_co_training
 from .repair import op10_repair_token_files
 from .tiff import op4_tiff_media
+from .toxicity import op8_toxicity_chain
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -17,7 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_pack_karmarkar_karp,
         op3_bpe_chunk_reuse,
         op4_tiff_media,
+        op5_probminhash_near_dedup,
+        op7_quality_co_training,
+        op8_toxicity_chain,
+        op9_chat_fingerprints,
         op10_repair_token_files,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_chat_fingerprints": OP9_SQL}

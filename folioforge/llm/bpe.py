@@ -46,7 +46,7 @@ def byte_letters() -> list[str]:
 class PairTable:
     """Ranks of id pairs: a few hash levels, each a direct-mapped array, so that a lookup is a handful of gathers."""
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, bits: int = 19):
+    def __init__(self, left: np.ndarray, right: np.ndarray, bits: int = 20):
         keys = left.astype(np.uint64) << np.uint64(16) | right.astype(np.uint64)
         ranks = np.arange(len(keys), dtype=np.int32)
         self.shift, self.levels = np.uint64(64 - bits), []
@@ -66,11 +66,18 @@ class PairTable:
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left.astype(np.uint64) << np.uint64(16) | right.astype(np.uint64)
         keys[(left < 0) | (right < 0)] = np.uint64(2**64 - 2)
-        out = None
-        for factor, held, value in self.levels:
-            slots = (keys * factor) >> self.shift
-            got = np.where(held[slots] == keys, value[slots], _NONE)
-            out = got if out is None else np.minimum(out, got)
+        return self._look(keys.ravel(), 0).reshape(keys.shape)
+
+    def _look(self, keys: np.ndarray, level: int) -> np.ndarray:
+        factor, held, value = self.levels[level]
+        slots = (keys * factor) >> self.shift
+        found = held[slots]
+        same = found == keys
+        out = np.where(same, value[slots], _NONE)
+        if level + 1 < len(self.levels):  # only where another pair has the slot
+            rest = np.flatnonzero(~same & (found != np.uint64(2**64 - 1)))
+            if len(rest):
+                out[rest] = self._look(keys[rest], level + 1)
         return out
 
 
@@ -80,7 +87,7 @@ class WordStore:
     Words of up to eight bytes are their own key; longer ones are told apart by 128 bits of two hashes.
     """
 
-    def __init__(self, bits: int = 21):
+    def __init__(self, bits: int = 22):
         self.bits = bits
         self.clear()
 
@@ -88,7 +95,7 @@ class WordStore:
         size = 1 << self.bits
         self.first, self.second = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
         self.place = np.zeros(size, np.int64)
-        self.pool, self.used, self.n = np.zeros(1 << self.bits, np.uint16), 0, 0
+        self.pool, self.used, self.n = np.zeros(1 << 20, np.uint16), 0, 0
 
     def slots(self, first: np.ndarray) -> np.ndarray:
         return ((first ^ (first >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -232,7 +239,7 @@ class PieceEncoder:
         for k in np.flatnonzero(n > 32).tolist():
             d = hashlib.blake2b(buf[at[k] : end[k]], digest_size=16).digest()
             first[k], second[k] = int.from_bytes(d[:8], "little") | 1, int.from_bytes(d[8:], "little")
-        if self.store.n > 1_200_000:
+        if self.store.n > 2_600_000:
             self.store.clear()
         place = self.store.find(first, second)
         if (new := np.flatnonzero(place < 0)).size:
@@ -384,10 +391,10 @@ class PieceEncoder:
                 r = np.arange(len(where))
                 if not len(where):
                     break
-            take = np.minimum(steps + (steps > at[:, None]), width + 1)
-            sym = np.take_along_axis(sym, take, 1)
+            after = steps > at[:, None]
+            np.copyto(sym[:, :-1], sym[:, 1:].copy(), where=after[:, :-1])
             sym[r, at] = self.made[best]
-            rank = np.take_along_axis(rank, np.minimum(take[:, :-1], width), 1)
+            np.copyto(rank[:, :-1], rank[:, 1:].copy(), where=after[:, :-2])
             rank[r, at] = self.ranks(sym[r, at], sym[r, at + 1])
             left = at > 0
             rank[r[left], at[left] - 1] = self.ranks(sym[r[left], at[left] - 1], sym[r[left], at[left]])

@@ -42,7 +42,8 @@ def compress(ids: np.ndarray, n_terminals: int, rounds: int = ROUNDS, rules_a_ro
         key = seq[:-1] << np.uint32(16) | seq[1:]
         bucket = (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BUCKETS)
         n = np.bincount(bucket, minlength=1 << _BUCKETS)
-        floor = max(least, int(np.partition(n, -room)[-room]))
+        as_many = np.bincount(np.minimum(n, 65535))[::-1].cumsum()  # buckets with at least 65535, 65534, ... pairs
+        floor = max(least, len(as_many) - 1 - int(np.searchsorted(as_many, room)))
         found, times = np.unique(key[n[bucket] >= floor], return_counts=True)
         found = np.sort(found[times >= least][np.argsort(-times[times >= least], kind="stable")][:room])
         if not len(found):

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans import join_queries, stat_queries, text_queries  # noqa: F401
+from .plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -3,8 +3,8 @@
 The content view sees measures of a text's letters, words and lines; the metadata view sees language, source and stated
 length. Each is a calibrated logistic model. Both start from the labelled sample; in every round each view labels those
 unlabelled documents of which it is most confident (calibrated probability beyond ``confident``, at most ``grow`` of either
-class) for the other view, which is fitted again on its labelled rows and these. At the end each view is calibrated on labelled
-rows held out from its fit, the log-odds of the views are added (the prior counted once), and every document is scored.
+class) for the other view, which is fitted again on its labelled rows and these; labels that make a view worse on the labelled rows set
+aside are given back. Each view is calibrated on those rows, the log-odds of the views are added (the prior counted once), and every document is scored.
 
 Fitting sees a bounded sample: about ``sample`` labelled and unlabelled documents (a hash of the id chooses them; a documented
 parameter); scoring sees all documents and their whole texts.
@@ -107,6 +107,11 @@ def co_train(x: np.ndarray, z: np.ndarray, y: np.ndarray, keys: np.ndarray, roun
         models[v] = fit(views[v][np.concatenate([rows, more]).astype(np.int64)], label, weight)
         scales[v] = platt(models[v].logit(views[v][held]), y[held].astype(float)) if held.any() else (1.0, 0.0)
 
+    def loss(v: int) -> float:
+        a, b = scales[v]
+        p = np.clip(sigmoid(a * models[v].logit(views[v][held]) + b), 1e-6, 1 - 1e-6)
+        return float(-np.mean(np.where(y[held] == 1, np.log(p), np.log(1 - p)))) if held.any() else 0.0
+
     for v in (0, 1):
         refit(v)
     for _ in range(rounds):
@@ -126,7 +131,13 @@ def co_train(x: np.ndarray, z: np.ndarray, y: np.ndarray, keys: np.ndarray, roun
         if not any(given):
             break
         for v in (0, 1):
-            refit(v)
+            if given[1 - v]:
+                before, kept = loss(v), (models[v], scales[v])
+                refit(v)
+                if loss(v) > before + 1e-3:  # labels that make the view worse on rows set aside are not taken
+                    models[v], scales[v] = kept
+                    for i in given[1 - v]:
+                        own[v].pop(i, None)
     return CoTrained(models[0], models[1], scales[0], scales[1], float(np.log(share / (1 - share))), (len(own[1]), len(own[0])))
 
 

@@ -38,6 +38,7 @@ def compare(df, con, sql: str) -> str:
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} {sorted(names)}"
     if got != want:
-        odd = [x for x in got if x not in set(want)][:3], [x for x in want if x not in set(got)][:3]
+        a, b = set(got), set(want)
+        odd = [x for x in got if x not in b][:3], [x for x in want if x not in a][:3]
         return f"{len(got)} rows, {len(want)} wanted; only got {odd[0]}; only wanted {odd[1]}"
     return ""

@@ -216,3 +216,50 @@ def test_empty_tables(spark, empty):
     else:
         none = spark.createDataFrame([], "k int, t int, v int")
         assert joins.asof_backward(none, none, ["k"], "t", ["v"]).count() == 0
+
+
+def test_index_pages_carry_names_over_rows_columns_and_pages(spark):
+    from folioforge.operators import index_pages
+
+    line = lambda x, y, t: ([x, y, x + 180, y + 10], t)
+    first = [line(0, 20 * k, f"Town{k}, Prov 30.{10 + k} N 110.20 E") for k in range(6)] + [line(250, 20 * k, f"City{k}, Prov 31.10 N 111.20 E") for k in range(5)]
+    first += [line(500, 20 * k, f"Port{k}, Prov 31.10 N 112.20 E") for k in range(4)] + [line(750, 20 * k, f"Cape{k}, Prov 30.75 N 112.20 E") for k in range(3)] + [line(750, 100, "Long Name That")]
+    second = [line(0, 0, "Wraps, Prov 29-34 N 115-119 E"), line(0, 20, "Bad, Prov 137.19 N 110.0 E"), line(0, 40, "A, P 30.1 N 110.1 E B, Q 31.1 N 111.1 E")]
+    rows = [("v", n, 1000, [{"bbox": b, "text": t} for b, t in page]) for n, page in ((1, first), (2, second))]
+    pages = spark.createDataFrame(rows, "volume string, page int, w int, lines array<struct<bbox:array<int>,text:string>>")
+    got = {r["name"]: r for r in index_pages.parse_pages(pages).collect()}
+    assert {"Town0", "City4", "Port3", "Long Name That Wraps", "A", "B"} <= set(got) and "Cape0" not in got and "Bad" not in got
+    assert got["Long Name That Wraps"]["is_range"] and got["Long Name That Wraps"]["lat"] == 31.5
+    assert abs(got["Town0"]["lat"] - 30.1667) < 1e-3 and got["B"]["province"] == "Q"
+
+
+def test_enrichment_asks_once_and_keeps_errors(spark):
+    from folioforge.operators import enrich
+
+    asks = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "boom", 3), ("c", "y", 4)], "key string, text string, n int")
+    cache = spark.createDataFrame([("c", "known")], "key string, response string")
+
+    def fn(texts):
+        if "boom" in texts:
+            raise ValueError("no answer")
+        return [t.upper() for t in texts]
+
+    out, fresh = enrich.enriched(asks, cache, fn, tries=2)
+    assert {(r["n"], r["response"], r["error"]) for r in out.collect()} == {(1, "X", None), (2, "X", None), (3, None, "no answer"), (4, "known", None)}
+    assert {r["key"] for r in fresh.collect()} == {"a"}
+
+
+def test_expectations(spark):
+    from folioforge.operators import quality
+
+    df = spark.range(3)
+    assert quality.expect(df, F.col("id") >= 0, "ids").count() == 3
+    with pytest.raises(AssertionError, match="1 rows"):
+        quality.expect(df, F.col("id") > 0, "ids")
+
+
+def test_salvage(spark):
+    from folioforge.operators import enrich
+
+    got = values(spark, [('{"type": "map", "n": 3',), ('{"type": "map"}',), ("x",)], "s string", enrich.salvage_field(F.col("s"), "type").alias("a"), enrich.salvage_field(F.col("s"), "n").alias("b"))
+    assert got == [("map", "3"), ("map", None), (None, None)]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
 
-__all__ = ["by_size", "shared_dir", "table", "texts_of", "vocabulary", "written"]
+__all__ = ["by_size", "clear_shared", "shared_dir", "table", "texts_of", "vocabulary", "written"]
 
 
 def vocabulary(name: str) -> str:
@@ -24,13 +24,26 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_MADE: list[str] = []
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new folder that driver and executors share: under spark.checkpoint.dir; where that is unset, as in tests, one of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file:///tmp/folioforge-checkpoints"
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def clear_shared(spark: SparkSession) -> int:
+    """Removes the tables that this driver has written to the shared folder; call it when no result that reads them is needed any more."""
+    n = 0
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

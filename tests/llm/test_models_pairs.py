@@ -240,3 +240,10 @@ def test_pipeline_of_awkward_rows(spark):
     for _, stage in corpus_pipeline.STAGES:
         at = stage(spark, at, SF)
     at.collect()
+
+
+def test_shared_tables_are_removed(spark):
+    from folioforge.llm import common
+
+    kept = common.written(spark.range(3), "test-table")
+    assert kept.count() == 3 and common.clear_shared(spark) >= 1 and common.clear_shared(spark) == 0

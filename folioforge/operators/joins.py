@@ -28,6 +28,23 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], on: str, val
     return both.withColumn("__r", got).where(F.col("__l").isNotNull()).select("__l.*", *(F.col(f"__r.{v}").alias(f"prev_{v}") for v in values))
 
 
+def asof_backward_split(left: DataFrame, right: DataFrame, by: list[str], on: str, values: list[str], bucket: Column) -> DataFrame:
+    """asof_backward for keys that may hold a large share of all rows: the window runs within (key, bucket), so that a hot key is many tasks.
+
+    ``bucket`` is an expression of ``on`` that never falls as ``on`` rises (such as its day). What a bucket starts with is the last right
+    row of any bucket before it, had from one row a key and bucket.
+    """
+    held = F.struct(F.col(on), *(F.col(v) for v in values))
+    last = right.withColumn("__b", bucket).groupBy(*by, "__b").agg(F.max(held).alias("__last"))
+    marks = last.unionByName(left.select(*by, bucket.alias("__b")).distinct(), allowMissingColumns=True)
+    one = marks.groupBy(*by, "__b").agg(F.max("__last").alias("__last"))
+    w = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    start = one.select(*by, "__b", F.last("__last", ignorenulls=True).over(w).alias("__start"))
+    inner = asof_backward(left.withColumn("__b", bucket), right.withColumn("__b", bucket), [*by, "__b"], on, values)
+    out = inner.join(start, [*by, "__b"], "left")
+    return out.select(*left.columns, *(F.when(F.col(f"prev_{v}").isNotNull(), F.col(f"prev_{v}")).otherwise(F.col(f"__start.{v}")).alias(f"prev_{v}") for v in values))
+
+
 def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None) -> DataFrame:
     """Pairs of points (columns lat, lon on both sides; other names distinct) at most km apart, with their distance ``km``.
 

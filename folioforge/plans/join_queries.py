@@ -73,6 +73,15 @@ def asof_prev(spark: SparkSession, d: str) -> DataFrame:
     return joins.asof_backward(buys, errors, ["user_id"], "ts", ["error_id"]).select("event_id", "user_id", "prev_error_id")
 
 
+@query(ASOF_SQL)
+def asof_prev_split(spark: SparkSession, d: str) -> DataFrame:
+    """asof_prev with every user's events dealt out by day, for users with a large share of all events."""
+    events = table(spark, d, "events")
+    buys = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    errors = events.where("event_type = 'error'").select("user_id", "ts", F.col("event_id").alias("error_id"))
+    return joins.asof_backward_split(buys, errors, ["user_id"], "ts", ["error_id"], F.to_date("ts")).select("event_id", "user_id", "prev_error_id")
+
+
 @query("""WITH v AS (SELECT user_id, ts, max(event_id) AS click FROM events WHERE event_type = 'click' GROUP BY ALL), f AS (SELECT user_id, arg_min(click, ts) AS first_click FROM v GROUP BY 1),
 a AS (SELECT s.event_id, s.user_id, s.ts, v.click FROM events s ASOF LEFT JOIN v ON s.user_id = v.user_id AND s.ts >= v.ts WHERE s.event_type = 'signup')
 SELECT a.event_id, a.user_id, coalesce(a.click, f.first_click) AS owner, row_number() OVER (PARTITION BY a.user_id, coalesce(a.click, f.first_click) ORDER BY a.ts, a.event_id)::INT AS ord FROM a LEFT JOIN f ON f.user_id = a.user_id""")

@@ -90,6 +90,8 @@ def test_asof_equals_brute_force(spark, left, right):
     for i, (k, t) in enumerate(left):
         best = max(((rt, v) for v, (rk, rt) in enumerate(right) if rk == k and rt <= t), default=(None, None))
         assert got[i] == best[1]
+    split = {x["id"]: x["prev_v"] for x in joins.asof_backward_split(l, r, ["k"], "t", ["v"], F.floor(F.col("t") / 3)).collect()}
+    assert split == got
 
 
 def test_distance_join_equals_brute_force(spark):

@@ -11,8 +11,9 @@ verified on the whole texts: a link holds if the probability Jaccard, or the Jac
 
 1. every node is verified against its bucket's smallest node, and components are formed;
 2. buckets whose nodes now lie in one component are finished, since no link within them can change a class;
-3. in the others nodes of different components are compared by signature, in blocks of bounded size however large the bucket,
-   and pairs whose estimate is not far below the threshold are verified; components are formed again.
+3. in the others nodes of different components are compared within blocks of bounded size, however large the bucket: by signature, and
+   where the estimate is not far below the threshold on the whole shingle sets. A block returns only links that join components, as
+   few as join all that its similar pairs join, never the pairs themselves; components are formed again.
 
 Step 3 leaves nothing out but pairs that a signature shows to be dissimilar (an estimate at least 5 standard deviations below).
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import by_size, table, texts_of, written
 
 WORDS, THRESHOLD, REGISTERS, ROWS = 5, 0.8, 80, 4
-LEAST_ESTIMATE, BLOCK = 0.55, 1024
+LEAST_ESTIMATE, BLOCK, BLOCK_SHINGLES = 0.55, 1024, 1_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = 2_000_000
 _POWERS: list[np.ndarray] = []
@@ -184,7 +185,7 @@ def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Of the pairs (u, v) those whose texts are similar. texts: node, text, of every node in the pairs."""
     a, b = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.join(a, "u").join(b, "v").select("u", "v", "text_u", "text_v")
+    both = pairs.hint("merge").join(a, "u").hint("merge").join(b, "v").select("u", "v", "text_u", "text_v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,24 +216,101 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", F.col("label").alias("component"))
 
 
-def _near_in_blocks(members: DataFrame, registers: int = REGISTERS) -> DataFrame:
-    """Pairs of nodes of different components in a block of a bucket whose sketches agree enough. members: band, i, j, side, node, component, sketch, n_shingles."""
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """node, hashes and counts (sorted 64-bit shingle hashes, 32-bit counts) of texts: node, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_size(batches, "text", _LIMIT):
+            text, value, count = shingles(texts_of(batch, "text"))
+            edges = np.searchsorted(text, np.arange(len(batch) + 1)).tolist()
+            spans = list(zip(edges, edges[1:], strict=False))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(batch.schema.get_field_index("node")), pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()), pa.array([count[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary())],
+                names=["node", "hashes", "counts"],
+            )
+
+    return texts.select("node", "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray], step: int = 4096) -> np.ndarray:
+    """Numbers of common elements of every left with every right set, by products of 0/1 matrices over the elements both sides have."""
+    sides = []
+    for sets in (left, right):
+        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(both), step):
+        part = both[at : at + step]
+        m = []
+        for (value, of), sets in zip(sides, (left, right), strict=True):
+            k = np.minimum(np.searchsorted(part, value), len(part) - 1)
+            here = part[k] == value
+            x = np.zeros((len(sets), len(part)), np.float32)
+            x[of[here], k[here]] = 1
+            m.append(x)
+        out += m[0] @ m[1].T
+    return out
+
+
+def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links that join components within a pair of blocks (places ``left`` and ``right``): as few as join all that similar pairs join."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    size = np.array([len(x) for x in sets])
+    mine = bands == band
+    out: list[tuple[int, int]] = []
+    for at in range(0, len(left), 128):
+        rows = left[at : at + 128]
+        todo = comp[rows][:, None] != comp[right][None, :]
+        if left is right:
+            todo &= rows[:, None] < right[None, :]
+        a, b = np.nonzero(todo)
+        agree = np.concatenate([(sketch[rows[a[k : k + 65536]]] == sketch[right[b[k : k + 65536]]]).mean(1) for k in range(0, len(a), 65536)]) if len(a) else np.zeros(0)
+        a, b = a[agree >= LEAST_ESTIMATE], b[agree >= LEAST_ESTIMATE]
+        x, y = rows[a], right[b]
+        near = np.minimum(size[x], size[y]) >= 0.5 * np.maximum(size[x], size[y])
+        a, b, x, y = a[near], b[near], x[near], y[near]
+        # a pair that shares several buckets is looked at in the first alone
+        first = np.concatenate([(bands[x[k : k + 65536]] == bands[y[k : k + 65536]]).argmax(1) for k in range(0, len(x), 65536)]) if len(x) else np.zeros(0, np.int64)
+        own = mine[x, first] if len(x) else np.zeros(0, bool)
+        a, b, x, y = a[own], b[own], x[own], y[own]
+        if not len(x):
+            continue
+        if len(x) > 500:
+            us, vs = np.unique(x), np.unique(y)
+            shared = shared_counts([sets[i] for i in us], [sets[i] for i in vs])[np.searchsorted(us, x), np.searchsorted(vs, y)]
+        else:
+            shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x.tolist(), y.tolist(), strict=True)])
+        plain = shared / (size[x] + size[y] - shared)
+        repeated = np.array([bool((c > 1).any()) for c in counts])
+        for k in np.flatnonzero((plain >= threshold) | ((plain >= threshold / 2) & (repeated[x] | repeated[y]))).tolist():
+            i, j = int(x[k]), int(y[k])
+            u, v = find(int(comp[i])), find(int(comp[j]))
+            if u != v and (plain[k] >= threshold or similarity((sets[i], counts[i]), (sets[j], counts[j])) >= threshold):
+                root[max(u, v)] = min(u, v)
+                out.append((min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))))
+    return out
+
+
+def _linked_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (u, v) between components found in the blocks of unfinished buckets. members: band, i, j, side, node, component, bands, sketch, hashes, counts."""
 
     def run(t: pa.Table) -> pa.Table:
-        node, comp, side, n = (t.column(c).to_numpy() for c in ("node", "component", "side", "n_shingles"))
-        order = np.argsort(node, kind="stable")
-        node, comp, side, n = node[order], comp[order], side[order], n[order]
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, registers)[order]
-        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2: a block against itself
-        out: list[tuple[int, int]] = []
-        for k in left.tolist():
-            other = right[(comp[right] != comp[k])]
-            if side[k] == 2:
-                other = other[other > k]
-            agree = (sketch[other] == sketch[k]).mean(1)
-            close = other[agree >= LEAST_ESTIMATE]
-            out += [(min(int(node[k]), int(node[o])), max(int(node[k]), int(node[o]))) for o in close]
-        return pa.table({"u": pa.array([x for x, _ in out], pa.int64()), "v": pa.array([y for _, y in out], pa.int64())})
+        t = t.take(pa.array(np.argsort(t.column("node").to_numpy(), kind="stable")))
+        node, comp, side = (t.column(c).to_numpy() for c in ("node", "component", "side"))
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
+        counts = [np.frombuffer(x, np.uint32) for x in t.column("counts").to_pylist()]
+        every = np.arange(len(node))
+        left, right = (every, every) if (side == 2).all() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        found = block_links(int(t.column("band")[0].as_py()), node, comp, bands, sketch, sets, counts, left, right, threshold)
+        return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())})
 
     return members.groupBy("band", "i", "j").applyInArrow(run, "u bigint, v bigint")
 
@@ -249,20 +327,20 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col
     pairs = written(met.where(F.col("node") != F.col("least")).select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
     touched = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     sources = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text_column).alias("text"))
-    texts = written(sources.join(touched, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    texts = written(sources.join(touched.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")  # the ids grow with the documents: never broadcast, at any size
     links = written(verified(pairs, texts, threshold), "links")
     label = components(links)
-    placed = met.where("n > 2").join(label, "node", "left").select("band", "node", "n", F.coalesce("component", "node").alias("component"))
-    mixed_up = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select(F.col("band").alias("b"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rest = placed.join(mixed_up, F.col("band") == F.col("b"), "left_semi").withColumn("blocks", blocks).withColumn("mine", mine)
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("band", "node", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"))
-    rest = rest.join(held.select("node", "sketch", "n_shingles"), "node")
-    more = written(_near_in_blocks(rest).distinct().join(pairs, ["u", "v"], "left_anti"), "more-pairs")
-    if more.limit(1).count():
-        found = written(verified(more, texts, threshold), "more-links")
+    placed = met.where("n > 2").join(label, "node", "left").join(held.select("node", "n_shingles"), "node").select("band", "node", F.coalesce("component", "node").alias("component"), "n_shingles")
+    unfinished = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("all")).where("lo < hi")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int")
+    rest = placed.join(unfinished.select(F.col("band").alias("b"), blocks.alias("blocks")), F.col("band") == F.col("b"))
+    rest = written(rest.select("band", "node", "component", "blocks"), "unfinished")
+    if rest.limit(1).count():
+        nodes_left = rest.select("node").distinct()
+        sets = shingle_sets(texts.join(nodes_left.hint("merge"), "node", "left_semi")).join(held.select("node", "bands", "sketch"), "node")
+        spread_out = rest.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        sided = spread_out.select("band", "node", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"))
+        found = written(_linked_in_blocks(sided.join(sets, "node"), threshold), "more-links")
         if found.limit(1).count():
             label = components(links.union(found))
     own = rows.select("doc_id", "key_a", "key_b")
@@ -276,7 +354,7 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     """docs without all but one document of each class: that of the smallest id stays; rows without an id stay."""
     classes = near_duplicate_classes(docs, threshold)
     heads = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where(F.col("doc_id").isNotNull()).join(heads.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +53,104 @@ def pair_within_blocks(left: DataFrame, right: DataFrame, name: str, cutoff: flo
     return exact.unionByName(fuzzy)
 
 
+PAIRS_AT_ONCE = 2_000_000
+
+
+def equal_runs(x: np.ndarray, y: np.ndarray, box: tuple, least: int) -> list[tuple[int, int, int]]:
+    """(-length, i, j) of the longest runs x[i:i+length] == y[j:j+length] within a box (a0, a1, b0, b1), from ``least`` items on. Pairs of equal items
+    are held a bounded number at a time; runs cut by such a bound are put together again."""
+    a0, a1, b0, b1 = box
+    order = np.argsort(y[b0:b1], kind="stable")
+    vals, xs = y[b0:b1][order], x[a0:a1]
+    lo = np.searchsorted(vals, xs, "left")
+    n = np.searchsorted(vals, xs, "right") - lo
+    ends, width, kept, at = np.cumsum(n), a1 - a0 + 2, [], 0
+    while at < len(xs):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS_AT_ONCE, "right")))
+        c = n[at:to]
+        if c.sum():
+            i = np.repeat(np.arange(at, to), c)
+            j = order[np.repeat(lo[at:to] - np.cumsum(c) + c, c) + np.arange(len(i))]
+            key = np.sort((j - i + width) * width + i)
+            first = np.flatnonzero(np.diff(key, prepend=key[0] - 2) != 1)
+            size = np.diff(first, append=len(key))
+            i = key[first] % width
+            hold = (size >= least) | (i == at) | (i + size == to)
+            kept.append((key[first][hold], size[hold]))
+        at = to
+    if not kept:
+        return []
+    key, size = np.concatenate([k for k, _ in kept]), np.concatenate([k for _, k in kept])
+    if len(kept) > 1:
+        by = np.argsort(key)
+        key, size = key[by], size[by]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1] + size[:-1]))
+        key, size = key[first], np.add.reduceat(size, first)
+    key, size = key[size >= least], size[size >= least]
+    i = key % width
+    j = key // width - width + i
+    return list(zip((-size).tolist(), (i + a0).tolist(), (j + b0).tolist(), strict=True))
+
+
+def matching_blocks(a: list[str], b: list[str]) -> list[tuple[int, int, int]]:
+    """The blocks of SequenceMatcher(None, a, b), in order. That looks for the longest run in every window anew, which for long texts takes time with the
+    cube of their length; here runs are found once, and taken longest first, cut to the windows that are left: first the runs of four items on, then, in
+    the windows between those, all."""
+    count = Counter(b)
+    most = len(b) // 100 + 1 if len(b) >= 200 else len(b)
+    ids = {w: k for k, w in enumerate(count)}
+    x = np.array([ids[w] if 0 < count[w] <= most else -1 for w in a], np.int64)
+    y = np.array([ids[w] if count[w] <= most else -2 for w in b], np.int64)
+    found, todo = [], [(0, len(a), 0, len(b))]
+    for least in (4, 1):
+        boxes, todo = todo, []
+        for box in boxes:
+            a0, a1, b0, b1 = box
+            if a1 - a0 == b1 - b0 == 1:
+                if a[a0] == b[b0]:
+                    found.append((a0, b0, 1))
+                continue
+            runs = equal_runs(x, y, box, least)
+            heapify(runs)
+            left = [box]
+            while runs:
+                size, i, j = heappop(runs)
+                size = -size
+                k = max(bisect_right(left, (i, len(a) + 1)) - 1, 0)
+                while k < len(left) and left[k][0] < i + size:
+                    p0, p1, q0, q1 = left[k]
+                    lo, hi = max(i, p0, q0 + i - j), min(i + size, p1, q1 + i - j)
+                    if hi - lo == size:
+                        s, t, e = i, j, i + size
+                        while s > p0 and t > q0 and a[s - 1] == b[t - 1]:
+                            s, t = s - 1, t - 1
+                        while e < p1 and t + e - s < q1 and a[e] == b[t + e - s]:
+                            e += 1
+                        found.append((s, t, e - s))
+                        left[k : k + 1] = [w for w in ((p0, s, q0, t), (e, p1, t + e - s, q1)) if w[0] < w[1] and w[2] < w[3]]
+                        break
+                    if hi - lo >= least:
+                        heappush(runs, (lo - hi, lo, lo + j - i))
+                    k += 1
+            todo += left
+    for a0, a1, b0, b1 in todo:  # common words alone are only matched from a window's start on
+        k = 0
+        while a0 + k < a1 and b0 + k < b1 and a[a0 + k] == b[b0 + k]:
+            k += 1
+        if k:
+            found.append((a0, b0, k))
+    return sorted(found)
+
+
+def replacements(x: list[str], y: list[str]) -> Iterator[tuple[int, int]]:
+    """Places where exactly one item on either side stands between two matching blocks."""
+    i = j = 0
+    for i2, j2, n in [*matching_blocks(x, y), (len(x), len(y), 0)]:
+        if i2 - i == j2 - j == 1:
+            yield i, j
+        i, j = i2 + n, j2 + n
+
+
 def aligned_replacements(pairs: DataFrame, key: str, ours: str, other: str) -> DataFrame:
     """key, place, our token, other token where the streams differ in exactly one token on either side."""
     kind = pairs.schema[key].dataType.simpleString()
@@ -58,7 +160,7 @@ def aligned_replacements(pairs: DataFrame, key: str, ours: str, other: str) -> D
             out = []
             for k, a, b in zip(pdf[key], pdf[ours], pdf[other], strict=True):
                 x, y = (a or "").split(), (b or "").split()
-                out += [(k, i, x[i], y[j]) for tag, i, i2, j, j2 in SequenceMatcher(None, x, y).get_opcodes() if tag == "replace" and i2 - i == j2 - j == 1]
+                out += [(k, i, x[i], y[j]) for i, j in replacements(x, y)]
             yield pd.DataFrame(out, columns=[key, "place", "ours", "theirs"])
 
     return pairs.select(key, ours, other).mapInPandas(run, f"`{key}` {kind}, place int, ours string, theirs string")

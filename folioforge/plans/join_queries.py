@@ -241,7 +241,7 @@ def token_align(spark: SparkSession, d: str) -> DataFrame:
     """Texts against themselves with every tenth word changed."""
     words = F.split("text", " ")
     other = F.array_join(F.transform(words, lambda w, i: F.when(i % 10 == 9, F.concat(w, F.lit("x"))).otherwise(w)), " ")
-    docs = table(spark, d, "documents").where("n_chars < 3000").select("doc_id", "text", other.alias("other"))
+    docs = table(spark, d, "documents").select("doc_id", "text", other.alias("other"))
     return similar.aligned_replacements(docs, "doc_id", "text", "other")
 
 

@@ -3,12 +3,14 @@
 import math
 import random
 import statistics
+from difflib import SequenceMatcher
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folioforge.catalogue import QUERIES
 from folioforge.functions import geo, stats, text
 from folioforge.operators import cascade, docstream, joins, layout, search, similar
 from folioforge.sources import readers, sinks
@@ -167,6 +169,26 @@ def test_similarity(spark):
     assert [tuple(r) for r in fixed] == [(1, 1, "villnge", "village")]
 
 
+def test_alignment_as_difflib():
+    r = random.Random(5)
+    for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):
+        for _ in range(6):
+            x = [str(int(r.random() ** 2 * v)) for _ in range(n)]
+            y = [w + "x" if i % 10 == 9 else w for i, w in enumerate(x)]
+            at = r.randint(0, n)
+            y[at : at + r.randint(0, 5)] = r.choice([[], ["z"], y[: r.randint(0, 9)]])
+            ops = SequenceMatcher(None, x, y).get_opcodes()
+            assert list(similar.replacements(x, y)) == [(i, j) for tag, i, i2, j, j2 in ops if tag == "replace" and i2 - i == j2 - j == 1]
+
+
+def test_token_align_takes_every_text(spark, tmp_path):
+    words = [f"w{i}" for i in range(1500)]
+    rows = [(1, " ".join(words), len(" ".join(words))), (2, " ".join(words[:30]), None), (3, " ".join(words[:20]), 100)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["token_align"](spark, str(tmp_path)).groupBy("doc_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 150), (2, 3), (3, 2)}
+
+
 def test_search(spark):
     docs = spark.createDataFrame([(1, "Le café du port"), (2, "cafe cafe"), (3, None)], "id int, t string")
     index = search.postings(docs, "id", "t")

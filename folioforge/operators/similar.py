@@ -11,7 +11,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,26 +31,99 @@ def with_ratio(pairs: DataFrame, a: str, b: str, name: str = "ratio") -> DataFra
     return pairs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema) + f", {name} double")
 
 
-def pair_within_blocks(left: DataFrame, right: DataFrame, name: str, cutoff: float = 0.82, contained: int = 6) -> DataFrame:
+class Closest:
+    """Names, of which the free one with the highest ratio to another is found. A ratio is at most that of the letters in common, so ratios are only
+    taken, from the highest such bound on, while a bound reaches the best ratio so far."""
+
+    def __init__(self, names: list[str]):
+        self.names, self.free = sorted(names), np.ones(len(names), bool)
+        self.length = np.array([len(m) for m in self.names], np.int64)
+        self.counts: dict[str, np.ndarray] = {}
+        for k, m in enumerate(self.names):
+            for c, n in Counter(m).items():
+                self.counts.setdefault(c, np.zeros(len(names), np.int32))[k] = n
+
+    def bounds(self, n: str) -> np.ndarray:
+        common = np.zeros(len(self.names), np.int32)
+        for c, k in Counter(n).items():
+            if c in self.counts:
+                common += np.minimum(self.counts[c], k)
+        return np.where(self.free, 2.0 * common / np.maximum(self.length + len(n), 1), -1.0)
+
+    def take(self, n: str, cutoff: float, contained: int) -> tuple[str, str] | None:
+        """(name, how): the free name of the highest ratio, of equals the last; else the first that contains the other."""
+        if not len(self.names):
+            return None
+        bound = self.bounds(n)
+        first = int(bound.argmax())
+        best = (ratio(n, self.names[first]), first) if bound[first] >= cutoff else (0.0, -1)
+        some = np.flatnonzero(bound >= max(cutoff, best[0]))
+        for k in some[np.argsort(-bound[some], kind="stable")].tolist():
+            if bound[k] < best[0]:
+                break
+            best = max(best, (ratio(n, self.names[k]), k))
+        how, at = "ratio", best[1]
+        if best[0] < cutoff:
+            fits = (m for m in np.flatnonzero(self.free & (self.length >= contained)).tolist() if len(n) >= contained and (self.names[m] in n or n in self.names[m]))
+            how, at = "contained", next(fits, -1)
+        if at < 0:
+            return None
+        self.free[at] = False
+        return self.names[at], how
+
+
+def grams(name: str, size: int) -> Column:
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(name) - (size - 1)), lambda i: F.col(name).substr(i, F.lit(size))))
+
+
+def containing(short: DataFrame, long: DataFrame, size: int) -> DataFrame:
+    """s, l of all names with at least ``size`` letters where s stands in l. They meet at that part of s which the fewest l have."""
+    s = short.where(F.length("s") >= size).select("s", F.explode(grams("s", size)).alias("g"))
+    have = long.where(F.length("l") >= size).select("l", F.explode(grams("l", size)).alias("g"))
+    n = have.groupBy("g").agg(F.count("*").alias("n"))
+    rarest = s.join(n, "g", "left").groupBy("s").agg(F.min_by("g", F.struct(F.coalesce("n", F.lit(0)), F.col("g"))).alias("g"))
+    return rarest.join(have, "g").where(F.contains("l", "s")).select("s", "l")
+
+
+def used_once(pairs: DataFrame) -> DataFrame:
+    """Of left_name, right_name, in order, each pair whose names have not been used. One stream holds the names used, not the pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken: tuple[set, set] = (set(), set())
+        for batch in batches:
+            keep = []
+            for n, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                keep.append(n not in taken[0] and m not in taken[1])
+                if keep[-1]:
+                    taken[0].add(n)
+                    taken[1].add(m)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return pairs.repartition(1).sortWithinPartitions("left_name", "right_name").mapInArrow(run, "left_name string, right_name string")
+
+
+def pair_within_blocks(left: DataFrame, right: DataFrame, name: str, cutoff: float = 0.82, contained: int = 6, across: int = 7) -> DataFrame:
     """left name, right name, how: each right name is used once. Exact pairs first (a join), then the closest by ratio, then containment,
-    greedily in name order within blocks of one first letter."""
+    greedily in name order within blocks of one first letter; then containment among all names left over, of at least ``across`` letters."""
     exact = left.join(right, name).select(F.col(name).alias("left_name"), F.col(name).alias("right_name"), F.lit("exact").alias("how"))
     block = F.substring(name, 1, 1)
     a = left.join(right, name, "left_anti").select(F.col(name).alias("n"), block.alias("block"))
     b = right.join(left, name, "left_anti").select(F.col(name).alias("n"), block.alias("block"))
 
     def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        free, out = sorted(y["n"]), []
+        names, out = Closest(list(y["n"])), []
         for n in sorted(x["n"]):
-            best = max(((ratio(n, m), m) for m in free if min(len(n), len(m)) * 2 >= cutoff * (len(n) + len(m))), default=(0.0, ""))
-            how, hit = ("ratio", best[1]) if best[0] >= cutoff else ("contained", next((m for m in free if min(len(m), len(n)) >= contained and (m in n or n in m)), ""))
-            if hit:
-                free.remove(hit)
-                out.append((n, hit, how))
+            out.append((n, *(names.take(n, cutoff, contained) or (None, None))))
+        out += [(None, names.names[k], None) for k in np.flatnonzero(names.free).tolist()]
         return pd.DataFrame(out, columns=["left_name", "right_name", "how"])
 
-    fuzzy = a.groupBy("block").cogroup(b.groupBy("block")).applyInPandas(run, "left_name string, right_name string, how string")
-    return exact.unionByName(fuzzy)
+    # kept, since the pass over all blocks reads what is left several times
+    fuzzy = a.groupBy("block").cogroup(b.groupBy("block")).applyInPandas(run, "left_name string, right_name string, how string").persist()
+    x, y = (fuzzy.where(F.col("how").isNull() & F.col(c).isNotNull()).select(F.col(c)) for c in ("left_name", "right_name"))
+    one = containing(x.toDF("s"), y.toDF("l"), across).select(F.col("s").alias("left_name"), F.col("l").alias("right_name"))
+    other = containing(y.toDF("s"), x.toDF("l"), across).select(F.col("l").alias("left_name"), F.col("s").alias("right_name"))
+    rest = used_once(one.unionByName(other)).withColumn("how", F.lit("contained_across"))
+    return exact.unionByName(fuzzy.where(F.col("how").isNotNull())).unionByName(rest)
 
 
 PAIRS_AT_ONCE = 2_000_000

@@ -221,9 +221,10 @@ def concept_path(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Part names paired one to one with slightly changed copies of others."""
-    a = table(spark, d, "part").where("p_partkey % 2 = 0").select(F.concat("p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("name"))
-    b = table(spark, d, "part").where("p_partkey % 4 = 0").select(F.concat("p_name", F.lit(" "), F.when(F.col("p_partkey") % 8 == 0, F.lit("")).otherwise(F.lit("x")), F.col("p_partkey").cast("string")).alias("name"))
+    """Part names paired one to one with slightly changed copies."""
+    p, key = table(spark, d, "part"), F.col("p_partkey").cast("string")
+    a = p.select(F.concat("p_name", F.lit(" "), key).alias("name"))
+    b = p.select(F.concat("p_name", F.lit(" "), F.when(F.col("p_partkey") % 8 == 0, F.lit("")).otherwise(F.lit("x")), key).alias("name"))
     return similar.pair_within_blocks(a.distinct(), b.distinct(), "name")
 
 

@@ -169,6 +169,34 @@ def test_similarity(spark):
     assert [tuple(r) for r in fixed] == [(1, 1, "villnge", "village")]
 
 
+def test_pairs_across_blocks(spark):
+    name = lambda *xs: spark.createDataFrame([(x,) for x in xs], "name string")
+    left, right = name("XABBEVILLE", "YABBEVILLE", "QLONDON", "ELSEWHERE", "PERTHSHIRE"), name("ABBEVILLE", "LONDON", "NELSEWHERES", "XPERTHSHIREX")
+    got = {tuple(r) for r in similar.pair_within_blocks(left, right, "name").collect()}
+    assert got == {("XABBEVILLE", "ABBEVILLE", "contained_across"), ("ELSEWHERE", "NELSEWHERES", "contained_across"), ("PERTHSHIRE", "XPERTHSHIREX", "contained_across")}
+
+
+def test_closest_as_brute_force():
+    r = random.Random(3)
+    names = lambda: sorted({"a" + "".join(r.choice("abcd") for _ in range(r.randint(0, 12))) for _ in range(60)})
+    for _ in range(20):
+        free, out = names(), []
+        asked, close = names(), similar.Closest(free)
+        for n in asked:
+            best = max(((similar.ratio(n, m), m) for m in free), default=(0.0, ""))
+            hit = (best[1], "ratio") if best[0] >= 0.82 else next(((m, "contained") for m in free if min(len(m), len(n)) >= 6 and (m in n or n in m)), None)
+            if hit:
+                free.remove(hit[0])
+            out.append(hit)
+        assert [close.take(n, 0.82, 6) for n in sorted(asked)] == out
+
+
+def test_similarity_pairs_takes_every_part(spark):
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES["similarity_pairs"](spark, sf).collect()
+    assert len(got) == len({r["left_name"] for r in got}) == spark.read.parquet(f"{sf}/part.parquet").count()
+
+
 def test_alignment_as_difflib():
     r = random.Random(5)
     for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):

@@ -126,6 +126,24 @@ def pair_within_blocks(left: DataFrame, right: DataFrame, name: str, cutoff: flo
     return exact.unionByName(fuzzy.where(F.col("how").isNotNull())).unionByName(rest)
 
 
+def deletions(word: Column, depth: Column) -> Column:
+    """The word and what is left of it without up to ``depth`` (at most two) of its letters."""
+    none = F.array().cast("array<string>")
+    one = lambda w: F.when(F.length(w) > 0, F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(w.substr(F.lit(1), i - 1), w.substr(i + 1, F.length(w))))).otherwise(none)
+    first = one(word)
+    return F.array_distinct(F.concat(F.array(word), F.when(depth >= 1, first).otherwise(none), F.when(depth >= 2, F.flatten(F.transform(first, one))).otherwise(none)))
+
+
+def within_edits(words: DataFrame, word: str, limit) -> DataFrame:
+    """asked, word, edits of all distinct words that differ by no more edits than ``limit`` (a function of columns, at most two) allows the asked one.
+    Two such words always share one of their deletions, so no pair is lost."""
+    w = words.select(F.col(word).alias("word")).where("word IS NOT NULL").distinct()
+    have = w.select("word", F.explode(deletions(F.col("word"), F.lit(2))).alias("k"))
+    asked = w.where(limit(F.col("word")) > 0).select(F.col("word").alias("asked"), F.explode(deletions(F.col("word"), limit(F.col("word")))).alias("k"))
+    met = asked.join(have, "k").where("asked <> word").select("asked", "word").distinct()
+    return met.withColumn("edits", F.levenshtein("asked", "word")).where(F.col("edits") <= limit(F.col("asked")))
+
+
 PAIRS_AT_ONCE = 2_000_000
 
 

@@ -197,6 +197,28 @@ def test_similarity_pairs_takes_every_part(spark):
     assert len(got) == len({r["left_name"] for r in got}) == spark.read.parquet(f"{sf}/part.parquet").count()
 
 
+def test_within_edits_as_brute_force(spark):
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    r = random.Random(9)
+    words = sorted({"".join(r.choice("abc") for _ in range(r.randint(0, 8))) for _ in range(120)} | {"old", "cold", "ä", "café"})
+    most = lambda a: 0 if len(a) <= 2 else 1 if len(a) <= 5 else 2
+    got = similar.within_edits(spark.createDataFrame([(w,) for w in [*words, *words[:9], None]], "w string"), "w", search.edit_limit).collect()
+    assert sorted(tuple(x) for x in got) == sorted((a, b, edits(a, b)) for a in words for b in words if a != b and edits(a, b) <= most(a))
+
+
+def test_edits_link_all_parts(spark):
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    got = QUERIES["similarity_edits_all"](spark, "/root/testdata/sf0.001").collect()
+    assert sum(r["kind"] == "member" for r in got) == part.count() - part.select("p_name").distinct().count() > 0
+
+
 def test_alignment_as_difflib():
     r = random.Random(5)
     for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):

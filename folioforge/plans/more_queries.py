@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import docstream, layout, search
+from ..operators import docstream, layout, search, similar
 from ..session import table
 from ..sources import sinks
 from .registry import query
@@ -57,13 +57,20 @@ def snippets(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), q AS (SELECT word AS asked, CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END AS most FROM w)
 SELECT asked, word, levenshtein(asked, word)::INT AS edits FROM q JOIN w ON left(asked, 1) = left(word, 1) AND asked <> word WHERE levenshtein(asked, word) <= most""")
 def fuzzy_words(spark: SparkSession, d: str) -> DataFrame:
-    """Words within the edits their length allows, of one first letter."""
+    """Words within the edits their length allows, of one first letter, as its SQL asks; fuzzy_words_all has no such restriction."""
     w = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
     q = w.select(F.col("word").alias("asked"), F.left("word", F.lit(1)).alias("b"))
     pairs = q.join(w.withColumn("b", F.left("word", F.lit(1))), "b").where("asked <> word")
     return pairs.select("asked", "word", F.levenshtein("asked", "word").alias("edits")).where(F.col("edits") <= search.edit_limit(F.col("asked")))
 
 
+@query("""WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), q AS (SELECT word AS asked, CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END AS most FROM w)
+SELECT asked, word, levenshtein(asked, word)::INT AS edits FROM q JOIN w ON asked <> word WHERE levenshtein(asked, word) <= most""")
+def fuzzy_words_all(spark: SparkSession, d: str) -> DataFrame:
+    """Words within the edits their length allows, whatever their first letters."""
+    return similar.within_edits(table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word")), "word", search.edit_limit)
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE starts_with(lower(p_name), (SELECT left(lower(min(p_name)), 3) FROM part)) ORDER BY p_name, p_partkey LIMIT 3")
 def prefix_lookup(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", "p_name")

@@ -219,6 +219,11 @@ def test_edits_link_all_parts(spark):
     assert sum(r["kind"] == "member" for r in got) == part.count() - part.select("p_name").distinct().count() > 0
 
 
+def test_fuzzy_words_of_any_first_letter(spark):
+    got = {tuple(r) for r in QUERIES["fuzzy_words_all"](spark, "/root/testdata/sf0.001").collect()}
+    assert {("old", "cold", 1), ("cold", "old", 1)} <= got
+
+
 def test_alignment_as_difflib():
     r = random.Random(5)
     for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):

@@ -146,6 +146,14 @@ def map_tiles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").where(lat.between(-80, 80)).select("c_custkey", "c_nationkey", search.tile_of(lon, lat, 3)["x"].cast("double").alias("tile_x"))
 
 
+@query("""SELECT c_custkey, c_nationkey, floor(((c_custkey * 53) % 361) / 360.0 * 8)::DOUBLE AS tile_x FROM customer""")
+def map_tiles_all(spark: SparkSession, d: str) -> DataFrame:
+    """map_tiles of all customers, those beyond 80 degrees too."""
+    k = F.col("c_custkey")
+    lon, lat = (F.pmod(k * 53, F.lit(361)) - 180).cast("double"), (F.pmod(k * 37, F.lit(181)) - 90).cast("double")
+    return table(spark, d, "customer").select("c_custkey", "c_nationkey", search.tile_of(lon, lat, 3)["x"].cast("double").alias("tile_x"))
+
+
 @query()
 def merged_volumes(spark: SparkSession, d: str) -> DataFrame:
     """Each conversation's texts merged as pages, with the digest line."""

@@ -103,6 +103,17 @@ def province_check(spark: SparkSession, d: str) -> DataFrame:
     return quality.box_flags(rows, boxes).select("p_partkey", F.array_join("flags", ",").alias("flags"), "clean")
 
 
+@query("""WITH b AS (SELECT p_brand AS province, floor(min(p_size)) AS south, ceil(max(p_size)) AS north FROM part GROUP BY 1)
+SELECT p_partkey, CASE WHEN south IS NULL THEN 'no_province_box' WHEN p_size NOT BETWEEN south - 1 AND north + 1 THEN 'outside_province_box' ELSE '' END AS flags, south IS NULL OR p_size BETWEEN south - 1 AND north + 1 AS clean FROM part LEFT JOIN b ON province = p_brand""")
+def province_check_all(spark: SparkSession, d: str) -> DataFrame:
+    """province_check with boxes from all parts, not every tenth."""
+    p = table(spark, d, "part")
+    size = F.col("p_size").cast("double")
+    boxes = quality.province_boxes(p.select(F.col("p_brand").alias("province"), size.alias("lat_lo"), size.alias("lat_hi"), F.lit(1.0).alias("lon_lo"), F.lit(2.0).alias("lon_hi")))
+    rows = p.select("p_partkey", F.col("p_brand").alias("province"), F.lit("Name").alias("name"), size.alias("lat"), F.lit(1.5).alias("lon"))
+    return quality.box_flags(rows, boxes).select("p_partkey", F.array_join("flags", ",").alias("flags"), "clean")
+
+
 @query("""WITH l AS (SELECT user_id, arg_max(event_type, event_id) AS decision FROM events GROUP BY user_id) SELECT c_custkey, CASE WHEN decision <> 'error' THEN decision END AS decision FROM customer LEFT JOIN l ON user_id = c_custkey""")
 def latest_decisions(spark: SparkSession, d: str) -> DataFrame:
     action = F.when(F.col("event_type") == "error", "undo").otherwise(F.col("event_type")).alias("action")

@@ -80,6 +80,15 @@ def paired_2x2(spark: SparkSession, d: str) -> DataFrame:
     return u.agg(F.count_if(a & b).alias("both"), F.count_if(b & ~a).alias("gained"), F.count_if(a & ~b).alias("lost"), F.count_if(~a & ~b).alias("neither"))
 
 
+@query("""WITH u AS (SELECT user_id, bool_or(event_type = 'purchase') AS a, bool_or(event_type = 'signup') AS b FROM events GROUP BY user_id)
+SELECT count(*) FILTER (a AND b) AS both, count(*) FILTER (b AND NOT a) AS gained, count(*) FILTER (a AND NOT b) AS lost, count(*) FILTER (NOT a AND NOT b) AS neither FROM u""")
+def paired_2x2_all(spark: SparkSession, d: str) -> DataFrame:
+    """paired_2x2 over all events, not only those of the first five days of a month."""
+    u = table(spark, d, "events").groupBy("user_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("a"), F.bool_or(F.col("event_type") == "signup").alias("b"))
+    a, b = F.col("a"), F.col("b")
+    return u.agg(F.count_if(a & b).alias("both"), F.count_if(b & ~a).alias("gained"), F.count_if(a & ~b).alias("lost"), F.count_if(~a & ~b).alias("neither"))
+
+
 @query("""WITH p AS (SELECT o_custkey, arg_max(o_orderkey, (o_totalprice, -o_orderkey)) AS a, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS b, max(o_totalprice) AS pa, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS pb FROM orders GROUP BY 1)
 SELECT count(*) AS n, count(*) FILTER (a = b) AS same, count(*) FILTER (pa - pb > 100000) AS far, round(median(pa - pb), 2) AS gap FROM p""")
 def paired_winners(spark: SparkSession, d: str) -> DataFrame:

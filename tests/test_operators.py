@@ -224,6 +224,14 @@ def test_fuzzy_words_of_any_first_letter(spark):
     assert {("old", "cold", 1), ("cold", "old", 1)} <= got
 
 
+def test_pairs_tiles_and_boxes_of_all_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = lambda name: spark.read.parquet(f"{sf}/{name}.parquet")
+    assert sum(QUERIES["paired_2x2_all"](spark, sf).first()) == rows("events").select("user_id").distinct().count()
+    assert QUERIES["map_tiles_all"](spark, sf).count() == rows("customer").count()
+    assert QUERIES["province_check_all"](spark, sf).where("flags <> ''").count() == 0
+
+
 def test_alignment_as_difflib():
     r = random.Random(5)
     for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):

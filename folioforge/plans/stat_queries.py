@@ -239,6 +239,17 @@ def knn_dot(spark: SparkSession, d: str) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("query_id", "vec_id", "rank")
 
 
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::DOUBLE * 127, 0)))::DOUBLE) AS v FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 100 = 0)
+SELECT q.vec_id AS query_id, e.vec_id, (row_number() OVER w)::INT AS rank FROM q JOIN e ON e.vec_id <> q.vec_id WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, e.v) DESC, e.vec_id) QUALIFY row_number() OVER w <= 5""")
+def knn_dot_all(spark: SparkSession, d: str) -> DataFrame:
+    """knn_dot of every vector whose id is divisible by 100: the queries' number grows with the table, so they are joined, not made literals."""
+    e = table(spark, d, "embeddings").select("vec_id", search.quantise(F.col("embedding")).alias("v"))
+    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    hits = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", search.dot(F.col("q"), F.col("v")).alias("score"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("query_id", "vec_id", "rank")
+
+
 @query()
 def export_shards(spark: SparkSession, d: str) -> DataFrame:
     return sinks.shards(table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), "s_suppkey", 16)

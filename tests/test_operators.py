@@ -232,6 +232,12 @@ def test_pairs_tiles_and_boxes_of_all_rows(spark):
     assert QUERIES["province_check_all"](spark, sf).where("flags <> ''").count() == 0
 
 
+def test_knn_asks_for_every_hundredth_vector(spark):
+    sf = "/root/testdata/sf0.001"
+    asked = spark.read.parquet(f"{sf}/embeddings.parquet").where("vec_id % 100 = 0").count()
+    assert QUERIES["knn_dot_all"](spark, sf).count() == 5 * asked > 15
+
+
 def test_alignment_as_difflib():
     r = random.Random(5)
     for n, v in ((0, 3), (40, 4), (150, 60), (230, 9), (400, 30), (900, 200)):

@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import table
 
-__all__ = ["by_size", "clear_shared", "shared_dir", "table", "texts_of", "vocabulary", "written"]
+__all__ = ["by_size", "clear_shared", "keyed_join", "shared_dir", "table", "texts_of", "vocabulary", "written"]
 
 
 def vocabulary(name: str) -> str:
@@ -28,32 +29,57 @@ _MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir; where that is unset, as in tests, one of our own."""
+    """A new folder that driver and executors share: under spark.checkpoint.dir, or, where that is unset and all run on one machine, one of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file:///tmp/folioforge-checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
     _MADE.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
     return _MADE[-1]
 
 
-def clear_shared(spark: SparkSession) -> int:
-    """Removes the tables that this driver has written to the shared folder; call it when no result that reads them is needed any more."""
+def clear_shared(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Removes tables written to the shared folder (all that this driver wrote, if none are named) once no result that reads them is needed."""
     n = 0
-    while _MADE:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+    for name in list(_MADE if paths is None else paths):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if name in _MADE:
+            _MADE.remove(name)
     return n
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again: cuts the lineage and survives lost executors. The folder is added to ``made``."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+SHARES, LEAST_HOT = 1000, 64
+
+
+def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
+    """many with one joined on the columns ``on``, of which one has no two equal rows; a key that many repeats often is dealt over many tasks.
+
+    A key with more than a thousandth of many's rows is hot (there are fewer than a thousand such keys, so their list may be broadcast):
+    its rows are dealt by a hash of the columns ``by``, and its row in one is repeated as often. counts: the keys with their number ``n``.
+    """
+    total = many.count() if total is None else total
+    counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    limit = max(LEAST_HOT, -(-total // SHARES))
+    hot = F.broadcast(counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("_salts")))
+    deal = F.coalesce("_salts", F.lit(1))
+    dealt = many.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), deal).cast("int")).drop("_salts")
+    held = one.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), deal - 1))).drop("_salts")
+    return dealt.join(held, [*on, "_salt"], how).drop("_salt")
+
+
 def by_size(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches: at most 2,000 rows and about ``limit`` bytes of ``column`` each."""
     for batch in batches:

@@ -15,11 +15,18 @@ verified on the whole texts: a link holds if the probability Jaccard, or the Jac
    where the estimate is not far below the threshold on the whole shingle sets. A block returns only links that join components, as
    few as join all that its similar pairs join, never the pairs themselves; components are formed again.
 
-Step 3 leaves nothing out but pairs that a signature shows to be dissimilar (an estimate at least 5 standard deviations below).
+Step 3 leaves out pairs that a signature shows to be dissimilar (an estimate at least 5 standard deviations below), and of the others
+only pairs whose bounds on both similarities lie below the threshold. Candidates are thus pairs that agree in a band: at a probability
+Jaccard similarity of 0.8 all but 3 in 100,000; a pair that only its plain Jaccard similarity would link is met as often as its
+probability Jaccard allows (the README states the recall measured against brute force).
+
+A node is a distinct text, named by the 128 bits of its digest and numbered once; ids play no part in it. Copies are counted into one
+row per text before anything is joined, and keys with many rows (hot texts, buckets, hubs, components) are dealt over many tasks.
 
 Defined cases: a text of one to four words is one shingle; a text without words (or null) shares a class only with equal texts; rows that
-share an id share a class; rows without an id share a class with the smallest id among equal texts, or have none; an empty table
-gives no rows; columns not named are not looked at.
+share an id but not their text are documents of their own, each in its text's class (class_key tells classes of one smallest id apart);
+rows without an id take part like any other, and a class without any id has a null class_id; an empty table gives no rows; columns not
+named are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,12 +36,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, table, texts_of, written
+from .common import by_size, clear_shared, keyed_join, table, texts_of, written
 
 WORDS, THRESHOLD, REGISTERS, ROWS = 5, 0.8, 80, 4
+KEYS = ["id0", "no_id", "key_a", "key_b"]
 LEAST_ESTIMATE, BLOCK, BLOCK_SHINGLES = 0.55, 1024, 1_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = 2_000_000
@@ -73,7 +81,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = np.searchsorted(first, start, "right") - 1
     n = np.bincount(text, minlength=len(texts))
     value = word.copy()
-    for k in range(1, WORDS):
+    for k in range(1, min(WORDS, len(word))):
         value[: len(word) - k] = value[: len(word) - k] * _P + word[k:]
     whole = np.zeros(len(word), bool)
     whole[: max(0, len(word) - WORDS + 1)] = text[: max(0, len(word) - WORDS + 1)] == text[WORDS - 1 :]
@@ -161,31 +169,38 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return max(plain, probability_jaccard(cx, cy, float(x.sum() - cx.sum()), float(y.sum() - cy.sum())))
 
 
+def keyed(docs: DataFrame, id_column: str, text_column: str, **more: Column) -> DataFrame:
+    """Every row's id (id0: 0 where null, then no_id holds), text (null: empty) and key_a, key_b: the 128 bits of the text's digest."""
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    part = lambda at: F.conv(F.substring(F.md5(text), at, 16), 16, -10).cast("bigint")
+    doc_id = F.col(f"`{id_column}`").cast("bigint")
+    more = {"text": text} | more
+    return docs.select(F.coalesce(doc_id, F.lit(0)).alias("id0"), doc_id.isNull().alias("no_id"), part(1).alias("key_a"), part(17).alias("key_b"), *(c.alias(k) for k, c in more.items()))
+
+
 def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, key_a, key_b (128 bits of the text's digest), bands array<bigint> (null without words), sketch binary (a byte per register), n_shingles."""
+    """id0, no_id, key_a, key_b, bands array<bigint> (null without words), sketch binary (a byte per register), n_shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "text", _LIMIT):
             texts = texts_of(batch, "text")
-            keys = np.frombuffer(b"".join(hashlib.md5(x.encode()).digest() for x in texts), "<i8").reshape(-1, 2)
             text, value, count = shingles(texts)
             sig = signatures(text, value, weights_of(count), len(texts))
             n = np.bincount(text, minlength=len(texts))
-            bands = bands_of(sig)
             small = (sig >> np.uint64(40)).astype(np.uint8)
-            rows = [x if k else None for x, k in zip(bands.tolist(), n.tolist(), strict=True)]
+            rows = [x if k else None for x, k in zip(bands_of(sig).tolist(), n.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("id")), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(rows, pa.list_(pa.int64())), pa.array([x.tobytes() for x in small], pa.binary()), pa.array(n.astype(np.int32))],
-                names=["doc_id", "key_a", "key_b", "bands", "sketch", "n_shingles"],
+                [*batch.select(KEYS).columns, pa.array(rows, pa.list_(pa.int64())), pa.array([x.tobytes() for x in small], pa.binary()), pa.array(n.astype(np.int32))],
+                names=[*KEYS, "bands", "sketch", "n_shingles"],
             )
 
-    return docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text")).mapInArrow(run, "doc_id bigint, key_a bigint, key_b bigint, bands array<bigint>, sketch binary, n_shingles int")
+    return keyed(docs, id_column, text_column).mapInArrow(run, "id0 bigint, no_id boolean, key_a bigint, key_b bigint, bands array<bigint>, sketch binary, n_shingles int")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Of the pairs (u, v) those whose texts are similar. texts: node, text, of every node in the pairs."""
+    """Of the pairs (u, v) those whose texts are similar. texts: node, text, of every node in the pairs. A v is in few pairs, a u in any number."""
     a, b = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.hint("merge").join(a, "u").hint("merge").join(b, "v").select("u", "v", "text_u", "text_v")
+    both = keyed_join(pairs.hint("merge").join(b, "v"), a, ["u"], ["v"], pairs.groupBy("u").agg(F.count("*").alias("n")), pairs.count()).select("u", "v", "text_u", "text_v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,15 +216,16 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return both.mapInArrow(run, "u bigint, v bigint")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, made: list[str] | None = None) -> DataFrame:
     """node and component (its smallest node) for every node that a link (u, v) touches. Labels fall to the smallest in reach."""
-    edges = written(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-    labels = written(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")), "labels")
+    edges = written(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges", made)
+    total = edges.count()
+    degrees = written(edges.groupBy("v").agg(F.count("*").alias("n")), "degrees", made)
+    labels = written(edges.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("label")), "labels", made)
     while True:
-        near = edges.join(labels, edges["v"] == labels["node"]).select(F.col("u").alias("node"), "label").union(labels)
-        low = near.groupBy("node").agg(F.min("label").alias("label"))
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("further"))
-        low = written(low.join(jump, F.col("label") == F.col("at"), "left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
+        near = keyed_join(edges, labels.withColumnRenamed("node", "v"), ["v"], ["u"], degrees, total).select(F.col("u").alias("node"), "label").union(labels)
+        low = written(near.groupBy("node").agg(F.min("label").alias("label")), "labels", made)
+        low = written(keyed_join(low, labels.select(F.col("node").alias("label"), F.col("label").alias("further")), ["label"], ["node"], how="left").select("node", F.least("label", F.coalesce("further", "label")).alias("label")), "labels", made)
         moved = low.select("node", F.col("label").alias("now")).join(labels, "node").where(F.col("now") != F.col("label")).limit(1).count()
         labels = low
         if not moved:
@@ -232,24 +248,25 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
 
 
-def shared_counts(left: list[np.ndarray], right: list[np.ndarray], step: int = 4096) -> np.ndarray:
-    """Numbers of common elements of every left with every right set, by products of 0/1 matrices over the elements both sides have."""
-    sides = []
-    for sets in (left, right):
-        sides.append((np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])))
+def shared_sums(left: list[np.ndarray], right: list[np.ndarray], weight_left: list[np.ndarray], weight_right: list[np.ndarray], step: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every left with every right set: the number of common elements, and their weights' sum on the left and on the right. Products of sparse-row matrices over the elements both sides have."""
+    sides = [(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(weights), len(sets)) for sets, weights in ((left, weight_left), (right, weight_right))]
     both = np.intersect1d(sides[0][0], sides[1][0])
-    out = np.zeros((len(left), len(right)), np.float32)
+    n, a, b = (np.zeros((len(left), len(right)), np.float32) for _ in range(3))
     for at in range(0, len(both), step):
         part = both[at : at + step]
         m = []
-        for (value, of), sets in zip(sides, (left, right), strict=True):
+        for value, of, weight, rows in sides:
             k = np.minimum(np.searchsorted(part, value), len(part) - 1)
             here = part[k] == value
-            x = np.zeros((len(sets), len(part)), np.float32)
+            x, w = np.zeros((rows, len(part)), np.float32), np.zeros((rows, len(part)), np.float32)
             x[of[here], k[here]] = 1
-            m.append(x)
-        out += m[0] @ m[1].T
-    return out
+            w[of[here], k[here]] = weight[here]
+            m.append((x, w))
+        n += m[0][0] @ m[1][0].T
+        a += m[0][1] @ m[1][0].T
+        b += m[0][0] @ m[1][1].T
+    return n, a, b
 
 
 def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray], counts: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float) -> list[tuple[int, int]]:
@@ -262,6 +279,9 @@ def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray
         return x
 
     size = np.array([len(x) for x in sets])
+    weights = [weights_of(c) for c in counts]
+    whole = np.array([w.sum() for w in weights])
+    repeated = np.array([bool((c > 1).any()) for c in counts])
     mine = bands == band
     out: list[tuple[int, int]] = []
     for at in range(0, len(left), 128):
@@ -273,25 +293,23 @@ def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray
         agree = np.concatenate([(sketch[rows[a[k : k + 65536]]] == sketch[right[b[k : k + 65536]]]).mean(1) for k in range(0, len(a), 65536)]) if len(a) else np.zeros(0)
         a, b = a[agree >= LEAST_ESTIMATE], b[agree >= LEAST_ESTIMATE]
         x, y = rows[a], right[b]
-        near = np.minimum(size[x], size[y]) >= 0.5 * np.maximum(size[x], size[y])
-        a, b, x, y = a[near], b[near], x[near], y[near]
         # a pair that shares several buckets is looked at in the first alone
         first = np.concatenate([(bands[x[k : k + 65536]] == bands[y[k : k + 65536]]).argmax(1) for k in range(0, len(x), 65536)]) if len(x) else np.zeros(0, np.int64)
         own = mine[x, first] if len(x) else np.zeros(0, bool)
-        a, b, x, y = a[own], b[own], x[own], y[own]
+        x, y = x[own], y[own]
         if not len(x):
             continue
-        if len(x) > 500:
+        hopeful = np.ones(len(x), bool)
+        if len(x) > 500:  # bounds on both similarities: 1 / sum_j max(x_j / x_i, y_j / y_i) is at most x_i / sum(x), and at most y_i / sum(y)
             us, vs = np.unique(x), np.unique(y)
-            shared = shared_counts([sets[i] for i in us], [sets[i] for i in vs])[np.searchsorted(us, x), np.searchsorted(vs, y)]
-        else:
-            shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(x.tolist(), y.tolist(), strict=True)])
-        plain = shared / (size[x] + size[y] - shared)
-        repeated = np.array([bool((c > 1).any()) for c in counts])
-        for k in np.flatnonzero((plain >= threshold) | ((plain >= threshold / 2) & (repeated[x] | repeated[y]))).tolist():
+            shared, of_x, of_y = (m[np.searchsorted(us, x), np.searchsorted(vs, y)] for m in shared_sums([sets[i] for i in us], [sets[i] for i in vs], [weights[i] for i in us], [weights[i] for i in vs]))
+            plain = shared / (size[x] + size[y] - shared)
+            bound = np.minimum(of_x / whole[x], of_y / whole[y])
+            hopeful = (plain >= threshold - 1e-3) | ((bound >= threshold - 1e-3) & (repeated[x] | repeated[y]))  # without repeated shingles the two are the same
+        for k in np.flatnonzero(hopeful).tolist():
             i, j = int(x[k]), int(y[k])
             u, v = find(int(comp[i])), find(int(comp[j]))
-            if u != v and (plain[k] >= threshold or similarity((sets[i], counts[i]), (sets[j], counts[j])) >= threshold):
+            if u != v and similarity((sets[i], counts[i]), (sets[j], counts[j])) >= threshold:
                 root[max(u, v)] = min(u, v)
                 out.append((min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))))
     return out
@@ -315,47 +333,65 @@ def _linked_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
     return members.groupBy("band", "i", "j").applyInArrow(run, "u bigint, v bigint")
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and class_id (the smallest id of the class), a row for each row of docs."""
-    rows = written(signed(docs, id_column, text_column), "signatures")
-    nodes = rows.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node"))
-    owned = rows.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), F.col("doc_id").alias("owner"), "bands", "sketch", "n_shingles").where("bands IS NOT NULL")
-    held = written(nodes.join(owned, (F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b")) & (F.col("node") == F.col("owner"))).select("node", "bands", "sketch", "n_shingles").dropDuplicates(["node"]), "nodes")
+def _classes(docs: DataFrame, threshold: float, id_column: str, text_column: str, made: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Every row's keys, and for every distinct text (key_a, key_b; n rows): whether it is the class's head, and the head's id and keys."""
+    rows = written(signed(docs, id_column, text_column), "signatures", made)
+    owner = F.min(F.struct("no_id", "id0")).alias("owner")
+    nodes = rows.groupBy("key_a", "key_b").agg(owner, F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
+    nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "key_a", "key_b", "owner.no_id", "owner.id0", "n", "bands", "sketch", "n_shingles"), "nodes", made)
+    held = nodes.where("bands IS NOT NULL").select("node", "bands", "sketch", "n_shingles")
     spread = held.select("node", F.explode("bands").alias("band"))
-    buckets = spread.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    met = written(spread.join(buckets.withColumnRenamed("band", "b"), F.col("band") == F.col("b")).select("node", "band", "n", "least"), "buckets")
-    pairs = written(met.where(F.col("node") != F.col("least")).select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    buckets = written(spread.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1"), "buckets", made)
+    met = written(keyed_join(spread, buckets, ["band"], ["node"], buckets.select("band", "n"), nodes.count() * (REGISTERS // ROWS)), "members", made)
+    pairs = written(met.where(F.col("node") != F.col("least")).select(F.col("least").alias("u"), F.col("node").alias("v")).distinct(), "pairs", made)
     touched = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sources = docs.select(F.col(id_column).cast("bigint").alias("node"), F.col(text_column).alias("text"))
-    texts = written(sources.join(touched.hint("merge"), "node", "left_semi").dropDuplicates(["node"]), "texts")  # the ids grow with the documents: never broadcast, at any size
-    links = written(verified(pairs, texts, threshold), "links")
-    label = components(links)
-    placed = met.where("n > 2").join(label, "node", "left").join(held.select("node", "n_shingles"), "node").select("band", "node", F.coalesce("component", "node").alias("component"), "n_shingles")
+    wanted = nodes.select("node", *KEYS).join(touched.hint("merge"), "node", "left_semi")
+    # rows with one id and one text are made one before they are sent on; the ids grow with the documents: never broadcast, at any size
+    texts = written(keyed(docs, id_column, text_column).dropDuplicates(KEYS).join(wanted.hint("merge"), KEYS).select("node", "text"), "texts", made)
+    links = written(verified(pairs, texts, threshold), "links", made)
+    label = components(links, made)
+    sized = keyed_join(met.where("n > 2").select("band", "node").join(label, "node", "left").join(held.select("node", "n_shingles"), "node"), buckets.select("band"), ["band"], ["node"], buckets.select("band", "n"), nodes.count() * (REGISTERS // ROWS))
+    placed = written(sized.select("band", "node", F.coalesce("component", "node").alias("component"), "n_shingles"), "placed", made)
     unfinished = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("all")).where("lo < hi")
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("all") / BLOCK_SHINGLES)).cast("int")
-    rest = placed.join(unfinished.select(F.col("band").alias("b"), blocks.alias("blocks")), F.col("band") == F.col("b"))
-    rest = written(rest.select("band", "node", "component", "blocks"), "unfinished")
-    if rest.limit(1).count():
+    unfinished = written(unfinished.select("band", "n", blocks.alias("blocks")), "unfinished", made)
+    if unfinished.limit(1).count():
+        rest = written(keyed_join(placed.drop("n_shingles"), unfinished.select("band", "blocks"), ["band"], ["node"], unfinished.select("band", "n")), "rest", made)
         nodes_left = rest.select("node").distinct()
         sets = shingle_sets(texts.join(nodes_left.hint("merge"), "node", "left_semi")).join(held.select("node", "bands", "sketch"), "node")
         spread_out = rest.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         sided = spread_out.select("band", "node", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("side"))
-        found = written(_linked_in_blocks(sided.join(sets, "node"), threshold), "more-links")
+        found = written(_linked_in_blocks(sided.join(sets, "node"), threshold), "more-links", made)
         if found.limit(1).count():
-            label = components(links.union(found))
-    own = rows.select("doc_id", "key_a", "key_b")
-    of_text = nodes.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "node")
-    placed = own.join(of_text, (F.col("key_a") == F.col("a")) & (F.col("key_b") == F.col("b"))).select("doc_id", "node")
-    # an id with several texts: its texts' classes are one only if linked; the row takes that of its own text
-    return placed.join(label, "node", "left").select("doc_id", F.coalesce("component", "node").alias("class_id"))
-
-
-def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without all but one document of each class: that of the smallest id stays; rows without an id stay."""
-    classes = near_duplicate_classes(docs, threshold)
-    heads = classes.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(heads.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+            label = components(links.union(found), made)
+    grouped = written(nodes.select("node", *KEYS, "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "grouped", made)
+    head = grouped.groupBy("component").agg(F.min(F.struct("no_id", "id0", "key_a", "key_b")).alias("head"))
+    classes = keyed_join(grouped, head, ["component"], ["node"])
+    return rows.select(*KEYS), written(classes.select("key_a", "key_b", "n", "head", (F.struct("no_id", "id0", "key_a", "key_b") == F.col("head")).alias("is_head")), "classes", made)
+
+
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, class_id (the smallest id of the class) and class_key (the digest of the class's head text), a row for each row of docs."""
+    made: list[str] = []
+    rows, classes = _classes(docs, threshold, id_column, text_column, made)
+    every = keyed_join(rows, classes.select("key_a", "key_b", "head"), ["key_a", "key_b"], ["id0"], classes.select("key_a", "key_b", "n"))
+    known = lambda at: F.when(~F.col(f"{at}no_id"), F.col(f"{at}id0"))
+    key = F.concat(*(F.lpad(F.lower(F.hex(f"head.{k}")), 16, "0") for k in ("key_a", "key_b")))
+    out = written(every.select(known("").alias("doc_id"), known("head.").alias("class_id"), key.alias("class_key")), "near-duplicates")
+    clear_shared(docs.sparkSession, made)
+    return out
+
+
+def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs without all but one row of each class: a row of the smallest id (one without id only where none has one), of these of the smallest text digest."""
+    made: list[str] = []
+    _, classes = _classes(docs, threshold, id_column, text_column, made)
+    heads = classes.where("is_head").select("head.*")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = keyed(docs, id_column, text_column, row=row).drop("text").dropDuplicates(KEYS).join(heads.hint("merge"), KEYS, "left_semi")
+    out = written(kept.select("row.*"), "one-of-each")
+    clear_shared(docs.sparkSession, made)
+    return out
 
 
 def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Classifiers on held-out labels, near-duplicates and top-k against brute force, the pipeline."""
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -60,11 +62,94 @@ def test_weighted_similarity_by_definition():
     assert abs(minhash.probability_jaccard(x, y, sum(only_x), sum(only_y)) - want) < 1e-9
 
 
-def test_shared_counts():
+def test_shared_sums():
     rnd = np.random.default_rng(2)
     sets = [np.unique(rnd.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]
-    got = minhash.shared_counts(sets[:12], sets[12:], step=50)
-    assert [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]] == got.astype(int).tolist()
+    weights = [rnd.integers(1, 9, len(x)).astype(float) for x in sets]
+    n, of_left, of_right = minhash.shared_sums(sets[:12], sets[12:], weights[:12], weights[12:], step=50)
+    for i, a in enumerate(sets[:12]):
+        for j, b in enumerate(sets[12:]):
+            assert (n[i, j], of_left[i, j], of_right[i, j]) == (len(np.intersect1d(a, b)), weights[i][np.isin(a, b)].sum(), weights[12 + j][np.isin(b, a)].sum())
+
+
+def test_bounds_hold_for_the_probability_jaccard():
+    rnd = np.random.default_rng(4)
+    for _ in range(200):
+        x, y = (minhash.weights_of(rnd.integers(1, 50, 8)) for _ in range(2))
+        more_x, more_y = rnd.random(2) * 30
+        p = minhash.probability_jaccard(x, y, more_x, more_y)
+        assert p <= min(x.sum() / (x.sum() + more_x), y.sum() / (y.sum() + more_y)) + 1e-12
+
+
+def weighted_classes_by_definition(rows):
+    """rows: (id, text); a link where the larger of the plain and the probability Jaccard similarity, by their definitions, is 0.8; distinct texts are the nodes."""
+    texts = sorted({t or "" for _, t in rows})
+    bags = []
+    for t in texts:
+        w = t.lower().split()
+        grams = [tuple(w[i : i + 5]) for i in range(len(w) - 4)] if len(w) >= 5 else [tuple(w)] * bool(w)
+        bags.append({g: 1 + math.log(n) for g, n in Counter(grams).items()})
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        x, y = bags[a], bags[b]
+        both, every = x.keys() & y.keys(), x.keys() | y.keys()
+        if both and (len(both) >= 0.8 * len(every) or sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in every) for i in both) >= 0.8):
+            root[find(b)] = find(a)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(find(texts.index(t or "")), []).append((i, t))
+    return sorted(sorted(g, key=str) for g in groups.values())
+
+
+def classes_found(spark, rows):
+    """The partition of (id, text) rows that the operator gives; the ids of equal texts are interchangeable."""
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    of = {}
+    for r in minhash.near_duplicate_classes(df).collect():
+        of.setdefault((r["class_id"], r["class_key"]), []).append(r["doc_id"])
+    return of
+
+
+def test_repeated_ids_and_weighted_shingles_equal_the_definition(spark):
+    rnd = random.Random(21)
+    rows = []
+    for k in range(90):
+        family = k % 3
+        words = [f"f{family}w{j}" for j in range(30)]
+        for _ in range(rnd.randrange(4)):
+            words[rnd.randrange(30)] = f"z{rnd.randrange(40)}"
+        chorus = ["la", "li", "lo", "lu", f"le{family}"] * rnd.randrange(1, 40)
+        rows.append((k % 40, " ".join(words + chorus)))  # ids come back with other texts
+    want = sorted(sorted((i for i, _ in g), key=str) for g in weighted_classes_by_definition(rows))
+    assert sorted(sorted(v, key=str) for v in classes_found(spark, rows).values()) == want
+
+
+def test_texts_that_share_an_id(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(50)) for c in "ab")
+    rows = [(5, a), (5, b), (7, a + " tail"), (8, b + " tail"), (None, a), (None, "no such text")]
+    assert sorted((sorted(v, key=str) for v in classes_found(spark, rows).values()), key=str) == [[5, 7, None], [5, 8], [None]]
+    left = minhash.drop_near_duplicates(spark.createDataFrame([(*r, 1, "k") for r in rows], "doc_id bigint, text string, id0 int, key_a string"))
+    assert sorted((r["doc_id"] or 0, r["text"], r["id0"], r["key_a"]) for r in left.collect()) == [(0, "no such text", 1, "k"), (5, a, 1, "k"), (5, b, 1, "k")]
+
+
+def test_links_behind_decoys(spark):
+    """Texts with few heavy shingles share all buckets with many that are not similar to them; sizes say nothing of their similarity."""
+    text = lambda k, n: "a b c d e " * 20000 + " ".join(f"own{k}x{i}" for i in range(n))
+    rows = [(k, text(k, 15)) for k in range(60)] + [(60, text(60, 1)), (61, text(61, 9))]
+    got = sorted(len(v) for v in classes_found(spark, rows).values())
+    assert got == [1] * 60 + [2]
+
+
+def test_recall_against_brute_force_on_the_tables(spark):
+    """Of the pairs of different texts that are similar by brute force, all lie in one class."""
+    rows = [(r["doc_id"], r["text"] or "") for r in table(spark, SF, "documents").collect()]
+    assert sorted(sorted(v, key=str) for v in classes_found(spark, rows).values()) == sorted(sorted((i for i, _ in g), key=str) for g in weighted_classes_by_definition(rows))
 
 
 def test_near_duplicates_equal_brute_force(spark):

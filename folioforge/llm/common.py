@@ -67,17 +67,22 @@ SHARES, LEAST_HOT = 1000, 64
 def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
     """many with one joined on the columns ``on``, of which one has no two equal rows; a key that many repeats often is dealt over many tasks.
 
-    A key with more than a thousandth of many's rows is hot (there are fewer than a thousand such keys, so their list may be broadcast):
-    its rows are dealt by a hash of the columns ``by``, and its row in one is repeated as often. counts: the keys with their number ``n``.
+    A key with more than a thousandth of many's rows is hot. There are fewer than a thousand such keys: their hashes and numbers of
+    shares (powers of two) become part of the plan. A hot key's rows are dealt by a hash of the columns ``by``, its row in one is
+    repeated for every share. counts: the keys with their number ``n``, if known; total: the number of many's rows.
     """
-    total = many.count() if total is None else total
     counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    total = many.count() if total is None else total
     limit = max(LEAST_HOT, -(-total // SHARES))
-    hot = F.broadcast(counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("_salts")))
-    deal = F.coalesce("_salts", F.lit(1))
-    dealt = many.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*by), deal).cast("int")).drop("_salts")
-    held = one.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), deal - 1))).drop("_salts")
-    return dealt.join(held, [*on, "_salt"], how).drop("_salt")
+    tiers: dict[int, list[int]] = {}
+    for r in counts.where(F.col("n") > limit).select(F.xxhash64(*on).alias("key"), "n").collect():  # fewer than SHARES rows
+        tiers.setdefault(1 << (-(-r["n"] // limit) - 1).bit_length(), []).append(r["key"])
+    deal = F.lit(1)
+    for shares, keys in sorted(tiers.items()):
+        deal = F.when(F.xxhash64(*on).isin(keys), shares).otherwise(deal)
+    dealt = many.withColumn("_share", F.pmod(F.xxhash64(*by), deal).cast("int"))
+    held = one.withColumn("_share", F.explode(F.sequence(F.lit(0), deal - 1)))
+    return dealt.join(held, [*on, "_share"], how).drop("_share")
 
 
 def by_size(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:

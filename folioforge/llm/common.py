@@ -7,12 +7,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
 
-__all__ = ["by_size", "clear_shared", "keyed_join", "shared_dir", "table", "texts_of", "vocabulary", "written"]
+__all__ = ["by_size", "clear_shared", "every_of", "keyed_join", "one_of", "shared_dir", "shares_of", "table", "texts_of", "vocabulary", "written"]
 
 
 def vocabulary(name: str) -> str:
@@ -64,15 +64,12 @@ def written(df: DataFrame, label: str, made: list[str] | None = None) -> DataFra
 SHARES, LEAST_HOT = 1000, 64
 
 
-def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
-    """many with one joined on the columns ``on``, of which one has no two equal rows; a key that many repeats often is dealt over many tasks.
+def shares_of(on: list[str], counts: DataFrame, total: int) -> Column:
+    """Over how many tasks the rows of a key (columns ``on``) should be dealt: 1, but for hot keys, of more than a thousandth of all ``total`` rows.
 
-    A key with more than a thousandth of many's rows is hot. There are fewer than a thousand such keys: their hashes and numbers of
-    shares (powers of two) become part of the plan. A hot key's rows are dealt by a hash of the columns ``by``, its row in one is
-    repeated for every share. counts: the keys with their number ``n``, if known; total: the number of many's rows.
+    counts: the keys with their number of rows ``n``. There are fewer than a thousand hot keys: their hashes and numbers of shares (powers
+    of two) become part of the plan, so that no join is needed to know them.
     """
-    counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
-    total = many.count() if total is None else total
     limit = max(LEAST_HOT, -(-total // SHARES))
     tiers: dict[int, list[int]] = {}
     for r in counts.where(F.col("n") > limit).select(F.xxhash64(*on).alias("key"), "n").collect():  # fewer than SHARES rows
@@ -80,9 +77,24 @@ def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], co
     deal = F.lit(1)
     for shares, keys in sorted(tiers.items()):
         deal = F.when(F.xxhash64(*on).isin(keys), shares).otherwise(deal)
-    dealt = many.withColumn("_share", F.pmod(F.xxhash64(*by), deal).cast("int"))
-    held = one.withColumn("_share", F.explode(F.sequence(F.lit(0), deal - 1)))
-    return dealt.join(held, [*on, "_share"], how).drop("_share")
+    return deal
+
+
+def one_of(deal: Column, by: list[str]) -> Column:
+    """The share a row falls to, by a hash of the columns ``by``."""
+    return F.pmod(F.xxhash64(*by), deal).cast("int")
+
+
+def every_of(deal: Column) -> Column:
+    """All shares of a key, a row for each."""
+    return F.explode(F.sequence(F.lit(0), deal - 1))
+
+
+def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
+    """many with one joined on the columns ``on``, of which one has no two equal rows; the rows of a hot key are dealt over many tasks by the columns ``by``."""
+    counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
+    deal = shares_of(on, counts, many.count() if total is None else total)
+    return many.withColumn("_share", one_of(deal, by)).join(one.withColumn("_share", every_of(deal)), [*on, "_share"], how).drop("_share")
 
 
 def by_size(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:

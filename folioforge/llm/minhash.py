@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_size, clear_shared, keyed_join, table, texts_of, written
+from .common import by_size, clear_shared, every_of, keyed_join, one_of, shares_of, table, texts_of, written
 
 WORDS, THRESHOLD, REGISTERS, ROWS = 5, 0.8, 80, 4
 KEYS = ["id0", "no_id", "key_a", "key_b"]
@@ -198,22 +198,30 @@ def signed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Of the pairs (u, v) those whose texts are similar. texts: node, text, of every node in the pairs. A v is in few pairs, a u in any number."""
-    a, b = texts.select(F.col("node").alias("u"), F.col("text").alias("text_u")), texts.select(F.col("node").alias("v"), F.col("text").alias("text_v"))
-    both = keyed_join(pairs.hint("merge").join(b, "v"), a, ["u"], ["v"], pairs.groupBy("u").agg(F.count("*").alias("n")), pairs.count()).select("u", "v", "text_u", "text_v")
+    """Of the pairs (u, v) those whose texts are similar. texts: node, text, of every node in the pairs. A v is in few pairs, a u in any number.
+
+    Every u's text is sent once to each task that has pairs of it, ahead of the texts of its partners, and held while they pass.
+    """
+    counts = pairs.groupBy("u").agg(F.count("*").alias("n"))
+    deal = shares_of(["u"], counts, pairs.count())
+    hubs = texts.join(counts.hint("merge"), F.col("node") == F.col("u")).select("u", every_of(deal).alias("share"), F.lit(0).alias("turn"), "node", "text")
+    partners = pairs.hint("merge").join(texts, F.col("v") == F.col("node")).select("u", one_of(deal, ["v"]).alias("share"), F.lit(1).alias("turn"), "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in by_size(iter([batch]), "text_u", _LIMIT // 2):
-                us, vs = texts_of(part, "text_u"), texts_of(part, "text_v")
-                place = {x: k for k, x in enumerate(dict.fromkeys(us + vs))}
-                text, value, count = shingles(list(place))
-                edges = np.searchsorted(text, np.arange(len(place) + 1))
-                sets = [(value[i:j], count[i:j]) for i, j in zip(edges, edges[1:], strict=False)]
-                good = [similarity(sets[place[x]], sets[place[y]]) >= threshold for x, y in zip(us, vs, strict=True)]
-                yield part.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
-
-    return both.mapInArrow(run, "u bigint, v bigint")
+        hub: tuple[np.ndarray, np.ndarray] | None = None
+        for batch in by_size(batches, "text", _LIMIT // 2):
+            text, value, count = shingles(texts_of(batch, "text"))
+            edges = np.searchsorted(text, np.arange(len(batch) + 1)).tolist()
+            good = []
+            for k, turn in enumerate(batch.column(2).to_pylist()):
+                own = (value[edges[k] : edges[k + 1]], count[edges[k] : edges[k + 1]])
+                if turn == 0:
+                    hub = (own[0].copy(), own[1].copy())
+                good.append(turn == 1 and similarity(hub, own) >= threshold)
+            kept = batch.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(3)], names=["u", "v"])
+
+    return hubs.union(partners).repartition("u", "share").sortWithinPartitions("u", "share", "turn").mapInArrow(run, "u bigint, v bigint")
 
 
 def components(links: DataFrame, made: list[str] | None = None) -> DataFrame:

@@ -80,5 +80,5 @@ def in_share(column: str, share: float, seed: int):
 
 
 def labels_of(labels: DataFrame, column: str, id_column: str = "doc_id") -> DataFrame:
-    """One label per id: rows with a null are left out, and of rows that disagree the larger label counts."""
-    return labels.where(F.col(id_column).isNotNull() & F.col(column).isNotNull()).groupBy(F.col(id_column).alias("label_id")).agg(F.max(F.col(column)).cast("int").alias("label"))
+    """One label per id: rows with a null or with anything but 0 and 1 are left out, and of rows that disagree the larger label counts."""
+    return labels.where(F.col(id_column).isNotNull() & F.col(column).isin(0, 1)).groupBy(F.col(id_column).alias("label_id")).agg(F.max(F.col(column)).cast("int").alias("label"))

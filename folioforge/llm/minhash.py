@@ -394,12 +394,11 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_colum
     """docs without all but one row of each class: a row of the smallest id (one without id only where none has one), of these of the smallest text digest."""
     made: list[str] = []
     _, classes = _classes(docs, threshold, id_column, text_column, made)
-    heads = classes.where("is_head").select("head.*")
+    heads = written(classes.where("is_head").select("head.*"), "heads")
+    clear_shared(docs.sparkSession, made)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     kept = keyed(docs, id_column, text_column, row=row).drop("text").dropDuplicates(KEYS).join(heads.hint("merge"), KEYS, "left_semi")
-    out = written(kept.select("row.*"), "one-of-each")
-    clear_shared(docs.sparkSession, made)
-    return out
+    return kept.select("row.*")
 
 
 def op5_probminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,16 +263,74 @@ def test_quality_on_held_out_labels(spark):
     assert all(r["keep_quality"] for r in got if r["truth"] == 1)
 
 
+def in_memory_pool(x, z, free, grow=10**9):
+    def take(v, model, scale, r):
+        good, bad = quality.sure_of(model, scale, (x, z)[v][free], quality.CONFIDENT)
+        at = np.flatnonzero(good | bad)[:grow]
+        return free[at], np.hstack([x, z])[free[at]], good[at].astype(float)
+
+    return take
+
+
 def test_co_training_uses_confident_views():
     rnd = np.random.default_rng(5)
     y = rnd.integers(0, 2, 800)
     x, z = y[:, None] + 0.2 * rnd.normal(size=(800, 1)), y[:, None] + 0.2 * rnd.normal(size=(800, 1))
-    seen = np.where(np.arange(800) < 60, y, -1)
-    model = quality.co_train(x, z, seen, np.arange(800))
+    model = quality.co_train(x[:60], z[:60], y[:60], np.arange(60), in_memory_pool(x, z, np.arange(60, 800)))
     assert min(model.exchanged) > 100
     assert ((model.score(x, z) > 0.5) == y).mean() > 0.97
 
 
+def test_pseudo_labels_from_a_strong_view_mend_a_weak_one():
+    """The second view has a dimension that the few labelled rows do not show; the first view's labels bring it."""
+    rnd = np.random.default_rng(8)
+    y = rnd.integers(0, 2, 4000)
+    x = y[:, None] + 0.15 * rnd.normal(size=(4000, 1))
+    z = np.stack([y + 2.0 * rnd.normal(size=4000), np.where(np.arange(4000) < 40, 0.0, y + 0.1 * rnd.normal(size=4000))], 1)
+    alone = quality.co_train(x[:40], z[:40], y[:40], np.arange(40), in_memory_pool(x, z, np.arange(40, 4000)), rounds=0)
+    model = quality.co_train(x[:40], z[:40], y[:40], np.arange(40), in_memory_pool(x, z, np.arange(40, 4000)))
+    hit = lambda m: ((m.views(x, z)[1] > 0) == y)[40:].mean()
+    assert model.exchanged[0] > 1000 and hit(model) > hit(alone) + 0.1
+
+
+def test_exchange_sees_every_document_without_label(spark):
+    """The pool's counts and picks equal those made in memory, over the driver's tables."""
+    docs, labels = table(spark, SF2, "documents"), table(spark, SF2, "labels").where("doc_id % 2 = 0")
+    f = quality.measured(docs).join(labels.select("doc_id"), "doc_id", "left_anti").select("key", "f")
+    rows = f.collect()
+    m = np.array([r["f"] for r in rows], float)
+    model = linear.fit(m[:, : quality.N_CONTENT], (m[:, 0] > np.median(m[:, 0])).astype(float))
+    for grow in (10**6, 50):
+        keys, got, label = quality.pool_of(f, grow, 0.9)(0, model, (1.0, 0.0), 0)
+        p = model.p(m[:, : quality.N_CONTENT])
+        want = {r["key"]: 1.0 for r, q in zip(rows, p, strict=True) if q >= 0.9} | {r["key"]: 0.0 for r, q in zip(rows, p, strict=True) if q <= 0.1}
+        assert all(want[k] == y for k, y in zip(keys.tolist(), label.tolist(), strict=True))
+        assert len(keys) == len(want) if grow > 50 else 50 < len(keys) < 160
+
+
+def test_op7_equals_the_model_applied_row_by_row(spark):
+    """The query's rows against the fitted views, combined by the formula in the docstring, one document at a time."""
+    docs = table(spark, SF, "documents")
+    model = quality.train_quality(docs, table(spark, SF, "labels"))
+    got = {r["doc_id"]: r for r in quality.op7_quality_co_training(spark, SF).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        x = quality.content_features([r["text"] or ""]).astype(np.float32).astype(float)
+        z = quality.metadata_features([r["lang"]], [r["source"]], [r["n_chars"]]).astype(np.float32).astype(float)
+        a = model.content_scale[0] * model.content.logit(x).item() + model.content_scale[1]
+        b = model.metadata_scale[0] * model.metadata.logit(z).item() + model.metadata_scale[1]
+        p = 1 / (1 + math.exp(-max(-40, min(40, a + b - model.prior))))
+        assert abs(got[r["doc_id"]]["quality"] - p) < 2e-6 and got[r["doc_id"]]["keep_quality"] == (round(p, 6) >= 0.5)
+
+
+def test_calibrated_views_agree_with_held_out_labels(spark):
+    docs, labels = table(spark, SF2, "documents"), table(spark, SF2, "labels")
+    model = quality.train_quality(docs, labels.where("doc_id % 2 = 0"))
+    got = quality.score_quality(docs, model).join(labels.withColumnRenamed("quality", "truth").where("doc_id % 2 = 1"), "doc_id").select("quality_content", "truth").collect()
+    mean = sum(r["quality_content"] for r in got) / len(got)
+    assert abs(mean - sum(r["truth"] for r in got) / len(got)) < 0.05
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = table(spark, SF2, "documents"), table(spark, SF2, "labels")
     chain = toxicity.train_toxicity(docs, labels.where("doc_id % 4 <> 3"))
@@ -282,9 +340,73 @@ def test_toxicity_on_held_out_labels(spark):
     assert sum(r["is_toxic"] for r in got if r["toxic"] == 1) >= 0.6 * sum(r["toxic"] for r in got)
 
 
+def made_rows(rnd, n=200, vocabulary=12):
+    fold, y = rnd.integers(0, toxicity.FOLDS, n), rnd.integers(0, 2, n)
+    present = [sorted(set(rnd.integers(0, vocabulary, 3).tolist())) if v or rnd.random() < 0.3 else [] for v in y]
+    lists = [(np.sort(rnd.permutation(vocabulary)[:8]), rnd.random(8) + 2) for _ in range(toxicity.FOLDS + 1)]
+    hits = np.array([[sum(t in set(at.tolist()) for t in p) for at, _ in lists] for p in present])
+    return toxicity.Rows(lists, np.cumsum([0, *map(len, present)]), np.array([t for p in present for t in p]), hits, rnd.integers(5, 50, n), y, fold, np.ones(n))
+
+
+def test_earlier_probabilities_are_out_of_fold():
+    """They equal models fitted by hand without the fold, and do not move when the fold's own labels and targets change."""
+    rnd = np.random.default_rng(3)
+    rows = made_rows(rnd)
+    terms = [f"t{k}" for k in range(12)]
+    chain, earlier = toxicity.fit_chain(rows, terms)
+    assert earlier.shape == (200, 2) and len(chain.links) == 3
+    for k in range(toxicity.FOLDS):
+        out, seen = rows.fold == k, rows.fold != k
+        x = rows.features(k)
+        share = rows.hits[:, k] / rows.words
+        usual = np.median(share[seen & (share > 0)])
+        first = linear.fit(x[seen], (rows.hits[seen, k] > 0).astype(float), rows.weight[seen], penalty=2.0)
+        assert np.allclose(earlier[out, 0], first.p(x[out]))
+        both = np.hstack([x, earlier[:, :1]])
+        second = linear.fit(both[seen], ((share >= usual) & (share > 0))[seen].astype(float), rows.weight[seen], penalty=2.0)
+        assert np.allclose(earlier[out, 1], second.p(both[out]))
+    inside = linear.fit(rows.features(5), (rows.hits[:, 5] > 0).astype(float), rows.weight, penalty=2.0).p(rows.features(5))
+    assert not np.allclose(earlier[:, 0], inside)
+    flipped = made_rows(np.random.default_rng(3))
+    flipped.y = np.where(flipped.fold == 2, 1 - flipped.y, flipped.y)
+    assert np.allclose(toxicity.fit_chain(flipped, terms)[1], earlier)  # the first categories are read off the texts: labels play no part but in the terms
+
+
+def test_terms_leave_the_fold_out(spark, monkeypatch):
+    """A word that only one fold's toxic documents have is in that fold's own list of terms for no one but the others."""
+    docs = [(k, f"word{k} plain talk " + ("zzbad" if k % 2 else "good")) for k in range(200)]
+    ids = spark.createDataFrame([(k,) for k, _ in docs], "doc_id bigint").selectExpr("doc_id", "xxhash64(doc_id) AS key").collect()
+    fold = dict(zip([r["doc_id"] for r in ids], linear.folds(np.array([r["key"] for r in ids]), toxicity.FOLDS).tolist(), strict=True))
+    docs = [(k, t + (" onlyhere" if fold[k] == 1 and k % 2 else "")) for k, t in docs]
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit_chain", lambda rows, terms, spark=None, real=toxicity.fit_chain: seen.update(rows=rows, terms=terms) or real(rows, terms, spark))
+    toxicity.train_toxicity(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(k, k % 2) for k, _ in docs], "doc_id bigint, toxic int"))
+    lists = [{seen["terms"][i] for i in at} for at, _ in seen["rows"].lists]
+    assert ["onlyhere" in x for x in lists] == [True, False, True, True, True, True] and all("zzbad" in x for x in lists)
+
+
+def test_op8_equals_the_chain_applied_row_by_row(spark):
+    """The query's rows against the links, fed with the probabilities before them, one document at a time."""
+    docs = table(spark, SF, "documents")
+    chain = toxicity.train_toxicity(docs, table(spark, SF, "labels"))
+    got = {r["doc_id"]: r for r in toxicity.op8_toxicity_chain(spark, SF).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        words = toxicity.words_of(r["text"] or "")
+        hits = [[t for t in chain.terms if t in toxicity.terms_of({w})] for w in words]
+        hits = [h for h in hits if h]
+        x = [float(any(t in h for h in hits)) for t in chain.terms] + [len(hits) / max(1, len(words)), math.log1p(len(hits)), math.log1p(len(words)), max((chain.strength[chain.place[t]] for h in hits for t in h), default=0.0)]
+        x = np.array(x, np.float32).astype(float)
+        for name, link in zip(toxicity.CATEGORIES, chain.links, strict=True):
+            p = link.p(x[None, :]).item()
+            assert abs(p - got[r["doc_id"]][f"p_{name}"]) < 2e-6
+            x = np.append(x, p)
+        assert got[r["doc_id"]]["is_toxic"] == (round(p, 6) >= 0.5)
+
+
 @pytest.mark.parametrize("labels", ["none", "one_class", "odd"])
 def test_classifiers_of_awkward_rows(spark, labels):
-    rows = {"none": [], "one_class": [(1, 1, 0), (2, 1, 0)], "odd": [(1, 1, 0), (1, 0, 1), (None, 1, 1), (5, None, None), (6, 0, 1), (777, 1, 1)]}[labels]
+    rows = {"none": [], "one_class": [(1, 1, 0), (2, 1, 0)], "odd": [(1, 1, 0), (1, 0, 1), (None, 1, 1), (5, None, None), (6, 0, 1), (777, 1, 1), (4, 7, -3), (7, 1, 2)]}[labels]
     known = spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
     docs = documents(spark)
     scored = quality.score_quality(docs, quality.train_quality(docs, known))
@@ -319,12 +441,20 @@ def test_pipeline(spark):
 
 
 def test_pipeline_of_awkward_rows(spark):
+    """Columns named like the operators' own pass through every stage but the last as they are."""
     import corpus_pipeline
 
     at = documents(spark)
-    for _, stage in corpus_pipeline.STAGES:
+    for name, stage in corpus_pipeline.STAGES:
         at = stage(spark, at, SF)
-    at.collect()
+        rows = at.collect()
+        if name != "packing":
+            assert at.schema == documents(spark).schema
+            assert all((r["ids"], r["turns"], r["label"], r["node"], r["quality"], r["band"]) == ("x", 1, 2, 3, "q", 5) for r in rows)
+    empty = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, SF)
+        assert empty.count() == 0
 
 
 def test_shared_tables_are_removed(spark):

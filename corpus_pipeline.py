@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on what
 columns of documents. Stages are written as Parquet and read again, so that a lost executor costs at most a part of one stage.
 
 Rows with null texts count as empty texts throughout; the quality stage rejects most of them. Ties and repeated rows are settled as the
-operators' docstrings say.
+operators' docstrings say. Other columns pass through every stage but the last untouched, also those named like a column that an
+operator makes. Rows without an id take part like any other; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -12,21 +13,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioforge.llm.common import table, vocabulary, written
+from folioforge.llm.common import clear_shared, table, vocabulary, written
 from folioforge.llm.minhash import drop_near_duplicates
 from folioforge.llm.packing import pack_documents
-from folioforge.llm.quality import score_quality, train_quality
-from folioforge.llm.toxicity import score_toxicity, train_toxicity
+from folioforge.llm.quality import keep_quality, train_quality
+from folioforge.llm.toxicity import drop_toxic, train_toxicity
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
-    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")), rejected=False).select(*docs.columns)
+    return keep_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not call toxic."""
-    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")), rejected=False).select(*docs.columns)
+    return drop_toxic(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents; each but the last is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        made: list[str] = []
+        docs = written(stage(spark, docs, sf_dir), name, made)
+        clear_shared(spark, before)  # no later stage reads what this one has read
+        before = made
     return STAGES[-1][1](spark, docs, sf_dir)

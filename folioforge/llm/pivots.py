@@ -10,8 +10,11 @@ which a window takes the best. Pivots come from a bounded sample of the vectors
 one farthest from those before); the sample also gives each query a first k-th best score to stop at.
 
 Defined cases: vectors that are null, empty, or hold a null or non-finite component take no part; vectors are compared with those of the same length
-only; a query's own row, and rows that repeat its id, are left out; repeated rows count as candidates of their own; scores beyond 64 bits
-are held at the limits; an empty table gives no rows; columns not named are not looked at.
+only; a query's own row is left out, other rows of its id are candidates like any; repeated rows are queries and candidates of their own;
+scores beyond 64 bits are held at the limits; an empty table gives no rows; columns not named are not looked at.
+
+How much a pivot table saves depends on the vectors: on clustered ones most evaluations, on vectors that point evenly in all of 64
+directions next to none, since all distances are then alike (the README gives the shares measured).
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import table, written
 
 K, PIVOTS, SAMPLE, QUERY_BLOCK, CANDIDATE_BLOCK = 5, 32, 512, 4096, 8192
-_EXACT = 2.0**52
+_EXACT, _EXACT_SMALL = 2.0**52, 2.0**24
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -54,15 +57,17 @@ def _scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Block:
     """Candidates of one block with their distances to the pivots; counts evaluations."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, gaps: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, gaps: np.ndarray, rows: np.ndarray | None = None):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors, self.gaps = ids[order], vectors[order], gaps[order]
-        self.pivots, self.values = pivots, vectors[order].astype(float)
+        self.ids, self.vectors, self.gaps = ids[order], vectors[order], np.ascontiguousarray(gaps[order].T)
+        self.rows = self.ids if rows is None else rows[order]
+        self.values = vectors[order].astype(float)
         self.norms = (self.values**2).sum(1)
         self.largest = float(np.abs(self.values).max()) if len(ids) else 0.0
+        self.small = self.values.astype(np.float32)
         self.evaluated = 0
 
-    def best(self, query_ids: np.ndarray, queries: np.ndarray, gaps: np.ndarray, floors: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    def best(self, query_rows: np.ndarray, queries: np.ndarray, gaps: np.ndarray, floors: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(query's place, ids, scores) of each query's best candidates here, of those that can be among its k best anywhere."""
         out = []
         for at in range(0, len(queries), 64):
@@ -70,28 +75,35 @@ class Block:
             q, gq = queries[part].astype(float), gaps[part]
             low = np.zeros((len(q), len(self.ids)), np.float32)
             for p in range(gq.shape[1]):
-                np.maximum(low, np.abs(gq[:, p : p + 1] - self.gaps[None, :, p]), out=low)
+                gap = gq[:, p : p + 1] - self.gaps[p][None, :]
+                np.maximum(low, np.abs(gap, out=gap), out=low)
             norm = (q**2).sum(1)
             low = np.maximum(low.astype(float) * (1 - 1e-5) - 1e-3, 0)
-            bound = (norm[:, None] + self.norms[None, :] - low**2) / 2
-            bound += 1e-6 * (norm[:, None] + self.norms[None, :]) + 1
+            both = norm[:, None] + self.norms[None, :]
+            bound = both * (0.5 + 1e-6) - low**2 / 2 + 1
             for r in range(len(q)):
-                exact = self.largest * float(np.abs(q[r]).max(initial=0)) * q.shape[1] < _EXACT
-                out.append((at + r, *self._one(int(query_ids[at + r]), queries[at + r], q[r], bound[r], float(floors[at + r]), k, exact)))
+                most = self.largest * float(np.abs(q[r]).max(initial=0)) * q.shape[1]
+                out.append((at + r, *self._one(int(query_rows[at + r]), queries[at + r], q[r], bound[r], float(floors[at + r]), k, most)))
         return out
 
-    def _one(self, own: int, query: np.ndarray, q: np.ndarray, bound: np.ndarray, floor: float, k: int, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    def _one(self, own: int, query: np.ndarray, q: np.ndarray, bound: np.ndarray, floor: float, k: int, most: float) -> tuple[np.ndarray, np.ndarray]:
+        exact = most < _EXACT
+        values, q = (self.small, q.astype(np.float32)) if most < _EXACT_SMALL else (self.values, q)
         able = np.flatnonzero(bound >= floor) if exact else np.arange(len(bound))
-        order = able[np.argsort(-bound[able], kind="stable")]
+        order = able[np.argsort(-bound[able].astype(np.float32))]  # places of nearly equal bounds may change; the bound that stops is the exact one
+        ahead = np.maximum.accumulate(bound[order][::-1])[::-1]  # the largest bound from here on
         ids, scores, step, at = np.zeros(0, np.int64), np.zeros(0, np.int64), 64, 0
         while at < len(order):
-            if exact and bound[order[at]] < floor:
+            if exact and ahead[at] < floor:
                 break
             rows = order[at : at + step]
-            at, step = at + step, min(2 * step, 2048)
-            rows = rows[self.ids[rows] != own]
+            at, step = at + step, min(4 * step, 4096)
+            rows = rows[self.rows[rows] != own]
             self.evaluated += len(rows)
-            got = (self.values[rows] @ q).astype(np.int64) if exact else _scores(query, self.vectors[rows])
+            got = (values[rows] @ q).astype(np.int64) if exact else _scores(query, self.vectors[rows])
+            if exact and len(scores) == k:
+                able = got >= scores[-1]
+                rows, got = rows[able], got[able]
             ids, scores = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, got])
             best = np.lexsort((ids, -scores) if exact else (ids, [-int(x) for x in scores]))[:k]
             ids, scores = ids[best], scores[best]
@@ -121,12 +133,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_column: str = "vec
                 out.append(np.sqrt(((p - np.array(v, float)) ** 2).sum(1)).astype(np.float32).tolist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.float32()))], names=[*batch.schema.names, "gaps"])
 
-    rows = written(usable.mapInArrow(gaps, "id bigint, v array<bigint>, asks boolean, gaps array<float>"), "pivot-table")
+    measured = usable.mapInArrow(gaps, "id bigint, v array<bigint>, asks boolean, gaps array<float>")
+    rows = written(measured.withColumn("row", F.monotonically_increasing_id()), "pivot-table")
     blocks = lambda size, which: F.coalesce(*(F.when(F.size("v") == d, F.lit(max(1, -(-n[which] // size)))) for d, n in lengths.items()), F.lit(1)) if lengths else F.lit(1)
     n_q, n_c = blocks(query_block, 1), blocks(candidate_block, 0)
-    spread = lambda n, salt: F.pmod(F.xxhash64("id", "v", F.lit(salt)), n).cast("int")
-    asked = rows.where("asks").select("id", "v", "gaps", F.size("v").alias("d"), spread(n_q, 1).alias("qb"), F.explode(F.sequence(F.lit(0), (n_c - 1).cast("int"))).alias("cb"))
-    offered = rows.select("id", "v", "gaps", F.size("v").alias("d"), spread(n_c, 2).alias("cb"), F.explode(F.sequence(F.lit(0), (n_q - 1).cast("int"))).alias("qb"))
+    spread = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), n).cast("int")
+    asked = rows.where("asks").select("id", "row", "v", "gaps", F.size("v").alias("d"), spread(n_q, 1).alias("qb"), F.explode(F.sequence(F.lit(0), (n_c - 1).cast("int"))).alias("cb"))
+    offered = rows.select("id", "row", "v", "gaps", F.size("v").alias("d"), spread(n_c, 2).alias("cb"), F.explode(F.sequence(F.lit(0), (n_q - 1).cast("int"))).alias("qb"))
 
     def matrix(column: pa.ChunkedArray, d: int, kind) -> np.ndarray:
         return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(-1, d)
@@ -139,21 +152,20 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_column: str = "vec
         d = len(left.column("v")[0])
         p = pivots[d]
         seed_ids, seed = seeds[d]
-        q_ids, q = left.column("id").to_numpy(), matrix(left.column("v"), d, np.int64)
-        block = Block(right.column("id").to_numpy(), matrix(right.column("v"), d, np.int64), p, matrix(right.column("gaps"), len(p), np.float32))
+        q_ids, q_rows, q = left.column("id").to_numpy(), left.column("row").to_numpy(), matrix(left.column("v"), d, np.int64)
+        block = Block(right.column("id").to_numpy(), matrix(right.column("v"), d, np.int64), p, matrix(right.column("gaps"), len(p), np.float32), right.column("row").to_numpy())
         floors = np.full(len(q), -np.inf)
         if len(seed) > k and float(np.abs(seed).max()) * float(np.abs(q).max()) * d < _EXACT:
             s = q.astype(float) @ seed.T.astype(float)
             s[q_ids[:, None] == seed_ids[None, :]] = -np.inf
-            floors = np.sort(s, 1)[:, -k]
-        found = block.best(q_ids, q, matrix(left.column("gaps"), len(p), np.float32), floors, k)
+            floors = np.sort(s, 1)[:, -k]  # rows that repeat an id may be left out of this first floor
+        found = block.best(q_rows, q, matrix(left.column("gaps"), len(p), np.float32), floors, k)
         n = [len(ids) for _, ids, _ in found]
-        hashed = left.column("row").to_numpy()
-        return pa.table([np.repeat(q_ids, n), np.repeat(hashed, n), np.concatenate([x for _, x, _ in found]), np.concatenate([x for _, _, x in found])], schema=schema)
+        return pa.table([np.repeat(q_ids, n), np.repeat(q_rows, n), np.concatenate([x for _, x, _ in found]), np.concatenate([x for _, _, x in found])], schema=schema)
 
     key = ["d", "qb", "cb"]
-    found = asked.withColumn("row", F.xxhash64("id", "v")).dropDuplicates(["id", "v", "cb"]).groupBy(*key).cogroup(offered.groupBy(*key)).applyInArrow(search, "query_id bigint, asked bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id", "asked").orderBy(F.col("score").desc(), "vec_id")
+    found = asked.groupBy(*key).cogroup(offered.groupBy(*key)).applyInArrow(search, "query_id bigint, asked bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("asked").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -163,13 +175,13 @@ def op2_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+  SELECT a.r AS asked, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0
 )
 SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
-WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+WINDOW w AS (PARTITION BY asked ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
 """

@@ -193,9 +193,9 @@ def test_near_duplicates_of_awkward_rows(spark):
 
 def top_by_brute_force(rows, asks, k):
     out = []
-    for q, v in rows:
+    for at, (q, v) in enumerate(rows):
         if q in asks:
-            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in rows if i != q and len(w) == len(v))
+            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for n, (i, w) in enumerate(rows) if n != at and len(w) == len(v))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -225,6 +225,16 @@ def test_top_k_equals_brute_force(spark, kind):
     assert sorted(tuple(r) for r in got.collect()) == want
 
 
+def test_top_k_of_rows_that_repeat_an_id(spark):
+    """Only a query's own row is no candidate; rows that repeat its id, and its vector, are; each of them asks on its own."""
+    rnd = random.Random(12)
+    vectors = [(i % 60, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(150)]
+    vectors += [vectors[0], vectors[50], vectors[50]]
+    got = pivots.top_k(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 50 == 0, query_block=3, candidate_block=40)
+    want = top_by_brute_force([(i, [math.floor(256 * x) for x in v]) for i, v in vectors], {0, 50}, 5)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_pivots_save_evaluations():
     rnd = np.random.default_rng(1)
     x = np.concatenate([rnd.normal(c, 0.05, (500, 8)) for c in rnd.normal(0, 1, (8, 8))]) * 256

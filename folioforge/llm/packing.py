@@ -5,6 +5,8 @@ windows, so that memory is bounded by a batch and a lost task is simply run agai
 what is left is cut into items of at most ``quantum`` ids, and the items of a batch go to k windows by differencing: partial
 partitions with the largest spreads are merged, the fullest windows of one with the emptiest of the other. Where the fullest
 window would exceed the capacity, k rises by one. Neighbouring items of a document that meet in a window become one piece.
+Ends of fewer than ``bundle`` ids are bundled in order into one item first, so that a batch has a bounded number of items however
+short its documents are, and differencing a bounded number of steps and bytes.
 
 Defined cases: a null or empty text has only the end id; repeated rows and repeated ids are separate documents, each packed
 whole; an empty table gives no rows; other columns of the input, whatever their names, are not looked at.
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import by_size, table, texts_of, vocabulary
 
-CAPACITY, QUANTUM, WINDOWS = 2048, 512, 128
+CAPACITY, QUANTUM, WINDOWS, BUNDLE = 2048, 512, 128, 64
 
 
 def differencing(sizes: list[int], k: int) -> tuple[np.ndarray, int]:
@@ -56,7 +58,7 @@ def differencing(sizes: list[int], k: int) -> tuple[np.ndarray, int]:
         made = n + len(merges)
         both = both[order]
         sums[made] = both - both[-1]
-        merges.append((i, j, order))
+        merges.append((i, j, order.astype(np.int32)))
         heapq.heappush(heap, (-int(sums[made][0]), made))
     place: dict[int, np.ndarray] = {heap[0][1]: np.arange(k)}
     out = np.zeros(n, np.int64)
@@ -73,10 +75,14 @@ def differencing(sizes: list[int], k: int) -> tuple[np.ndarray, int]:
     return out, int(full.max())
 
 
-def pack(lengths: list[int], capacity: int = CAPACITY, quantum: int = QUANTUM) -> list[tuple[int, int, int, int, int]]:
+def pack(lengths: list[int], capacity: int = CAPACITY, quantum: int = QUANTUM, bundle: int = BUNDLE) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, window, offset) of pieces that cover the documents, by window and offset."""
-    windows, items = 0, []
+    windows = 0
     out: list[tuple[int, int, int, int, int]] = []
+    items: list[list[tuple[int, int, int]]] = []  # parts (document, start, length) that stay together
+    sizes: list[int] = []
+    bundle, quantum = min(bundle, quantum), min(quantum, capacity)
+    open_item = -1  # the bundle that still takes ends
     for d, n in enumerate(lengths):
         at = 0
         while n - at >= capacity:
@@ -84,10 +90,18 @@ def pack(lengths: list[int], capacity: int = CAPACITY, quantum: int = QUANTUM) -
             windows, at = windows + 1, at + capacity
         while at < n:
             size = min(quantum, n - at)
-            items.append((d, at, size))
+            if size < bundle and open_item >= 0 and sizes[open_item] + size <= quantum:
+                items[open_item].append((d, at, size))
+                sizes[open_item] += size
+            else:
+                items.append([(d, at, size)])
+                sizes.append(size)
+                if size < bundle:
+                    open_item = len(items) - 1
+            if open_item >= 0 and sizes[open_item] >= bundle:
+                open_item = -1
             at += size
     if items:
-        sizes = [x[2] for x in items]
         k = -(-sum(sizes) // capacity)
         while True:
             place, most = differencing(sizes, k)
@@ -97,14 +111,15 @@ def pack(lengths: list[int], capacity: int = CAPACITY, quantum: int = QUANTUM) -
         fill = [0] * k
         last: list[list[int] | None] = [None] * k
         pieces: list[list[int]] = []
-        for (d, at, size), w in zip(items, place.tolist(), strict=True):
-            p = last[w]
-            if p and p[0] == d and p[1] + p[2] == at:
-                p[2] += size
-            else:
-                last[w] = p = [d, at, size, windows + w, fill[w]]
-                pieces.append(p)
-            fill[w] += size
+        for item, w in zip(items, place.tolist(), strict=True):
+            for d, at, size in item:
+                p = last[w]
+                if p and p[0] == d and p[1] + p[2] == at:
+                    p[2] += size
+                else:
+                    last[w] = p = [d, at, size, windows + w, fill[w]]
+                    pieces.append(p)
+                fill[w] += size
         out += [tuple(p) for p in sorted(pieces, key=lambda p: (p[3], p[4]))]
     return out
 

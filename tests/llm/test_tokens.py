@@ -112,6 +112,34 @@ def test_differencing_is_near_the_best_partition(sizes, k):
     assert best <= most <= best * (4 / 3 - 1 / (3 * k)) + 1e-9
 
 
+def test_very_short_documents_stay_small():
+    """A batch of documents of one id each is packed in bounded memory, without padding."""
+    import tracemalloc
+
+    tracemalloc.start()
+    rows = packing.pack([1] * (packing.WINDOWS * packing.CAPACITY))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len({r[3] for r in rows}) == packing.WINDOWS and len(rows) == packing.WINDOWS * packing.CAPACITY and most < 150e6
+
+
+def test_op1_query_equals_the_library(spark):
+    """Every piece's checksum, cut pieces too, against the library's ids; offsets without gaps; each id once."""
+    lib = bpe.PieceEncoder(vocabulary(FILES[0])).library
+    ids = {r["doc_id"]: lib.encode(r["text"] or "", add_special_tokens=False).ids + [1] for r in table(spark, SF, "documents").collect()}
+    rows = packing.op1_pack_karmarkar_karp(spark, SF).collect()
+    at, fill = dict.fromkeys(ids, 0), {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["start"])):
+        part = ids[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert r["start"] == at[r["doc_id"]] and r["doc_tokens"] == len(ids[r["doc_id"]]) and r["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+        at[r["doc_id"]] += r["length"]
+    assert at == {k: len(v) for k, v in ids.items()} and any(r["length"] < r["doc_tokens"] for r in rows)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == fill.get(r["sequence_id"], 0)
+        fill[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(fill.values()) <= 2048
+
+
 def op1_rows(spark, docs):
     out = packing.pack_documents(docs, vocabulary(FILES[0]), 1)
     return out.withColumn("crc", F.crc32("ids")).collect()
@@ -142,10 +170,11 @@ def test_op3_equals_the_library(spark):
         for r in docs.select("doc_id", "text").collect():
             ids = lib.encode(r["text"] or "", add_special_tokens=False).ids
             assert (ids, lib.decode(ids, skip_special_tokens=False)) in got[r["doc_id"]]
-    row = bpe_reuse.op3_bpe_chunk_reuse(spark, SF).orderBy("doc_id").first()
-    text = table(spark, SF, "documents").where("doc_id = 0").first()["text"]
-    ids = lib.encode(text, add_special_tokens=False).ids
-    assert (row["n_tokens"], row["ids_sha256"]) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+    rows = {r["doc_id"]: r for r in bpe_reuse.op3_bpe_chunk_reuse(spark, SF).collect()}
+    for r in table(spark, SF, "documents").collect():
+        ids = lib.encode(r["text"] or "", add_special_tokens=False).ids
+        want = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+        assert tuple(rows[r["doc_id"]][c] for c in ("n_tokens", "ids_sha256", "decoded_sha256")) == want
     assert bpe_reuse.encode_decode(documents(spark, []), vocabulary(FILES[0])).count() == 0
 
 
@@ -177,3 +206,13 @@ def test_token_files(spark):
     path = shared_dir(spark, "test-token-files")
     repair.write_token_files(documents(spark, []), path, vocabulary(FILES[1]), 0)
     assert repair.read_token_files(spark, path).count() == 0
+
+
+def test_op10_query_equals_the_library(spark):
+    lib = bpe.PieceEncoder(vocabulary(FILES[1])).library
+    rows = {r["doc_id"]: r for r in repair.op10_repair_token_files(spark, SF).collect()}
+    at = 0
+    for r in sorted(table(spark, SF, "documents").collect(), key=lambda r: r["doc_id"]):
+        ids = lib.encode(r["text"] or "", add_special_tokens=False).ids + [0]
+        assert tuple(rows[r["doc_id"]][c] for c in ("start", "n_tokens", "ids_crc32")) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)

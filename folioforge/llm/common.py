@@ -80,7 +80,7 @@ def shares_of(on: list[str], counts: DataFrame, total: int) -> Column:
     return deal
 
 
-def one_of(deal: Column, by: list[str]) -> Column:
+def one_of(deal: Column, by: list[str | Column]) -> Column:
     """The share a row falls to, by a hash of the columns ``by``."""
     return F.pmod(F.xxhash64(*by), deal).cast("int")
 
@@ -90,8 +90,11 @@ def every_of(deal: Column) -> Column:
     return F.explode(F.sequence(F.lit(0), deal - 1))
 
 
-def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
-    """many with one joined on the columns ``on``, of which one has no two equal rows; the rows of a hot key are dealt over many tasks by the columns ``by``."""
+def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str | Column], counts: DataFrame | None = None, total: int | None = None, how: str = "inner") -> DataFrame:
+    """many joined with one on the columns ``on``; the rows of a key that is hot in many are dealt over many tasks by the columns ``by``.
+
+    counts: the keys with their number of rows ``n``, of all ``total`` rows or of a sample of that size (it settles the dealing, not the result).
+    """
     counts = many.groupBy(*on).agg(F.count("*").alias("n")) if counts is None else counts
     deal = shares_of(on, counts, many.count() if total is None else total)
     return many.withColumn("_share", one_of(deal, by)).join(one.withColumn("_share", every_of(deal)), [*on, "_share"], how).drop("_share")

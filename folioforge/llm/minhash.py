@@ -382,7 +382,7 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, id_col
     """doc_id, class_id (the smallest id of the class) and class_key (the digest of the class's head text), a row for each row of docs."""
     made: list[str] = []
     rows, classes = _classes(docs, threshold, id_column, text_column, made)
-    every = keyed_join(rows, classes.select("key_a", "key_b", "head"), ["key_a", "key_b"], ["id0"], classes.select("key_a", "key_b", "n"))
+    every = keyed_join(rows, classes.select("key_a", "key_b", "head"), ["key_a", "key_b"], [F.monotonically_increasing_id()], classes.select("key_a", "key_b", "n"))
     known = lambda at: F.when(~F.col(f"{at}no_id"), F.col(f"{at}id0"))
     key = F.concat(*(F.lpad(F.lower(F.hex(f"head.{k}")), 16, "0") for k in ("key_a", "key_b")))
     out = written(every.select(known("").alias("doc_id"), known("head.").alias("class_id"), key.alias("class_key")), "near-duplicates")

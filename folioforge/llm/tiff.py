@@ -360,7 +360,11 @@ def tiff_pages(media: DataFrame, media_column: str = "media", keep: tuple[str, .
     return media.select(*keep, media_column).mapInArrow(run, f"{kept}, {PAGE_SCHEMA}")
 
 
-def text_to_tiff(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_bytes: int = 64, compression: str = "deflate") -> DataFrame:
+#: How texts are stored: (compression, predictor, tile). The checksum of the bytes chooses, so that equal texts have equal files.
+FORMS = (("lzw", 2, (64, 64)), ("packbits", 1, None), ("deflate", 2, (64, 64)), ("deflate", 2, None), *[("deflate", 1, None)] * 12)
+
+
+def text_to_tiff(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_bytes: int = 64, forms: tuple = FORMS) -> DataFrame:
     """Each text's UTF-8 bytes, filled up with zeros to whole rows (one at least), as a one-page grey TIFF: doc_id, n_bytes, media."""
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -370,7 +374,9 @@ def text_to_tiff(docs: DataFrame, id_column: str = "doc_id", text_column: str =
             for text in texts_of(batch, "text"):
                 raw = text.encode()
                 n.append(len(raw))
-                media.append(encode_grey([(raw.ljust(max(1, -(-len(raw) // row_bytes)) * row_bytes, b"\0"), row_bytes)], compression))
+                raw = raw.ljust(max(1, -(-len(raw) // row_bytes)) * row_bytes, b"\0")
+                compression, predictor, tile = forms[zlib.crc32(raw) % len(forms)]
+                media.append(encode_grey([(raw, row_bytes)], compression, predictor, tile=tile))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("id")), pa.array(n, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"doc_id {kind}, n_bytes bigint, media binary")

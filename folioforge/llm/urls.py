@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import keyed_join, table
 
 #: Kind, key, action, category, first day.
 ENTRIES = (
@@ -36,6 +36,7 @@ ENTRIES = (
     ("parameter", "utm_source", "block", "campaign", "2024-06-10"),
 )
 KINDS = ("parameter", "host", "path")
+SAMPLED = 16  # one row in so many tells which keys are hot
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -61,20 +62,31 @@ def keys_of(url: Column, host: Column) -> Column:
     return F.array_distinct(F.concat(F.transform(suffixes, pair("host")), F.transform(prefixes, pair("path")), F.transform(names, pair("parameter"))))
 
 
+def _named(addresses: DataFrame) -> DataFrame:
+    """A row ``k`` for each key of each address ``_u``."""
+    return addresses.withColumn("_h", host_of(F.col("_u"))).where("_h IS NOT NULL").withColumn("k", F.explode(keys_of(F.col("_u"), F.col("_h"))))
+
+
 def judge(captures: DataFrame, entries: DataFrame, url_column: str = "url", time_column: str = "fetched_at") -> DataFrame:
     """captures with host, decision (keep or block), rule, category and rule_since."""
     new = ("host", "decision", "rule", "category", "rule_since")
     kept = [c for c in captures.columns if c not in new]
-    asked = captures.select(F.col(url_column).alias("u"), F.col(time_column).alias("t")).where("u IS NOT NULL AND t IS NOT NULL").distinct()
-    asked = asked.withColumn("h", host_of(F.col("u"))).where("h IS NOT NULL")
-    named = asked.select("u", "t", F.explode(keys_of(F.col("u"), F.col("h"))).alias("k")).select("u", "t", F.col("k.kind").alias("kind"), F.col("k.key").alias("key"))
-    active = named.join(intervals(entries), ["kind", "key"]).where((F.col("t") >= F.col("since")) & (F.col("until").isNull() | (F.col("t") < F.col("until"))))
+    url, time = F.col(f"`{url_column}`"), F.col(f"`{time_column}`")
+    # the rows' own columns travel in one struct, out of the way of the names used here
+    rows = captures.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row"), url.alias("_u"), time.alias("_t"))
+    some = rows.select("_u", "_t", F.monotonically_increasing_id().alias("_n")).where(F.pmod(F.xxhash64("_n"), F.lit(SAMPLED)) == 0)  # for the dealing of hot keys alone
+    n_some = some.count()
+    asked = rows.select("_u", "_t").where("_u IS NOT NULL AND _t IS NOT NULL").distinct()
+    some_named, named = (_named(x).select("_u", "_t", F.col("k.kind").alias("kind"), F.col("k.key").alias("key")) for x in (some, asked))
+    met = keyed_join(named, intervals(entries), ["kind", "key"], ["_u", "_t"], some_named.groupBy("kind", "key").agg(F.count("*").alias("n")), n_some)
+    active = met.where((F.col("_t") >= F.col("since")) & (F.col("until").isNull() | (F.col("_t") < F.col("until"))))
     strength = F.struct(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")), F.length("key"), F.col("key"))
-    best = active.groupBy("u", "t").agg(F.max_by(F.struct("kind", "key", "action", "category", "since"), strength).alias("r"))
-    out = captures.select(*kept).join(best, (F.col(url_column) == F.col("u")) & (F.col(time_column) == F.col("t")), "left")
-    blocked = F.coalesce(F.col("r.action") == "block", F.lit(False))
+    best = active.groupBy("_u", "_t").agg(F.max_by(F.struct("kind", "key", "action", "category", "since"), strength).alias("_r"))
+    out = keyed_join(rows, best, ["_u", "_t"], [F.monotonically_increasing_id()], some.groupBy("_u", "_t").agg(F.count("*").alias("n")), n_some, "left")
+    blocked = F.coalesce(F.col("_r.action") == "block", F.lit(False))
     return out.select(
-        *kept, host_of(F.col(url_column)).alias("host"), F.when(blocked, "block").otherwise("keep").alias("decision"), F.concat_ws(":", F.col("r.kind"), F.col("r.key")).alias("rule"), F.col("r.category").alias("category"), F.col("r.since").alias("rule_since")
+        *(F.col("_row").getField(c).alias(c) for c in kept), host_of(F.col("_u")).alias("host"), F.when(blocked, "block").otherwise("keep").alias("decision"), F.concat_ws(":", F.col("_r.kind"), F.col("_r.key")).alias("rule"),
+        F.col("_r.category").alias("category"), F.col("_r.since").alias("rule_since"),
     )
 
 

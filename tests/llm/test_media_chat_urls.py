@@ -2,8 +2,10 @@
 
 import hashlib
 import json
+import math
 import random
 import zlib
+from collections import Counter
 
 import pytest
 from edge import ROWS, documents
@@ -57,6 +59,18 @@ def test_op4_digests(spark):
         want = raw.ljust(max(1, -(-len(raw) // 64)) * 64, b"\0")
         got = rows[r["doc_id"]]
         assert (got["n_bytes"], got["payload_bytes"], got["payload_sha256"], got["tail_crc32"]) == (len(raw), len(want), hashlib.sha256(want).hexdigest(), zlib.crc32(want[-64:]))
+        n = Counter(want)
+        mean = sum(want) / len(want)
+        spread = math.sqrt(sum((x - mean) ** 2 for x in want) / len(want))
+        entropy = -sum(k / len(want) * math.log2(k / len(want)) for k in n.values())
+        step = sum(abs(a - b) for a, b in zip(want, want[1:])) / (len(want) - 1)  # noqa: B905
+        made = dict(part.split("=") for part in got["feature"].split(";"))
+        assert (int(made["min"]), int(made["max"])) == (min(want), max(want))
+        assert all(abs(float(made[k]) - v) < 1e-3 for k, v in (("mean", mean), ("sd", spread), ("entropy", entropy), ("step", step)))
+    stored = {r["doc_id"]: bytes(r["media"]) for r in tiff.text_to_tiff(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert {k: (hashlib.sha256(v).hexdigest(), len(v)) for k, v in stored.items()} == {k: (r["media_sha256"], r["media_bytes"]) for k, r in rows.items()}
+    kinds = {(p["compression"], p["predictor"], p["tiled"]) for v in stored.values() for p in tiff.read_pages(v)}
+    assert len(kinds) == 5  # every form is met on the query's path
 
 
 RECORDS = {
@@ -120,3 +134,13 @@ def test_url_list(spark):
     assert got == [(1, "keep", "path:a.x.org/p/q"), (2, "keep", ""), (3, "keep", ""), (4, "keep", ""), (5, "keep", ""), (6, "block", "host:x.org"), (6, "block", "host:x.org"), (7, "block", "host:x.org"), (8, "keep", "")]
     none = urls.list_entries(spark, entries).limit(0)
     assert {r["decision"] for r in urls.judge(cap, none).collect()} == {"keep"}
+
+
+def test_captures_with_clashing_columns_and_a_hot_address(spark):
+    """Columns named like the operator's own stay as they are; an address with most of the rows is dealt over tasks and judged alike."""
+    rows = [(k, "http://a.x.org/p" if k % 10 else f"http://h{k}.y.org/", "t", "u", "r", 1, "k", "old") for k in range(6000)]
+    cap = spark.createDataFrame(rows, "id int, url string, t string, u string, r string, _share int, `k.kind` string, rule string").withColumn("fetched_at", F.to_date(F.lit("2024-01-15")))
+    entries = (("host", "x.org", "block", "c", "2024-01-01"), ("host", "org", "allow", "c", "2023-01-01"))
+    got = urls.judge(cap, urls.list_entries(spark, entries)).collect()
+    assert sorted((r["id"], r["decision"], r["rule"]) for r in got) == [(k, "block", "host:x.org") if k % 10 else (k, "keep", "host:org") for k in range(6000)]
+    assert all((r["t"], r["u"], r["r"], r["_share"], r["k.kind"]) == ("t", "u", "r", 1, "k") for r in got)

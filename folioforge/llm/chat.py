@@ -4,9 +4,14 @@ A record is a JSON text. Its nested field paths (names and nesting, without the
 declarative mapping, which says where the turns lie and what the roles are called. The template marks turns with control strings
 and rewrites control strings within texts, so that the marks are unmistakable and the texts can be had back exactly.
 
-Defined cases: a null text or role is empty; a record that is not JSON, or whose fingerprint no mapping has, keeps its row with null
-turns and ``layout`` null; rows of a conversation that share a turn number stand in the order of role and text, rows without a
-turn number first; repeated rows are turns of their own; an empty table gives no rows; columns not named are not looked at.
+A long conversation is put into several records of bounded numbers of turns, so that a hot one is parsed and formatted by many tasks;
+only its templated text is joined at the end, since its digest is one.
+
+Defined cases: a null text or role is empty; a record that is not JSON, that is beyond the 128 MB a parsed value may have, or whose
+fingerprint no mapping has (one more field makes another fingerprint), keeps its row with null turns and ``layout`` null (the query
+stops with an error rather than give null digests); a record with an empty list has no turns; rows of a conversation that share a turn
+number stand in the order of role and text, rows without a turn number first; repeated rows are turns of their own; an empty table gives
+no rows; columns not named are not looked at.
 """
 
 from __future__ import annotations
@@ -35,8 +40,10 @@ class Mapping:
     roles: tuple[tuple[str, str], ...] = ()
 
     @property
-    def fingerprint(self) -> str:
-        return hashlib.sha256(self.shape.encode()).hexdigest()
+    def fingerprints(self) -> list[str]:
+        """That of the shape, and for a list of turns that of the shape with an empty list."""
+        shapes = [self.shape] + ([f"OBJECT<{self.path.removeprefix('$.')}:ARRAY<VOID>>"] if self.path else [])
+        return [hashlib.sha256(x.encode()).hexdigest() for x in shapes]
 
 
 CALLED = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
@@ -79,7 +86,7 @@ def canonical_turns(records: DataFrame, record_column: str = "record", mappings:
     printed = parsed.withColumn("fingerprint", F.sha2(shape_of(F.col("__v")).cast("binary"), 256))
     turns, layout = F.lit(None).cast(TURNS), F.lit(None).cast("string")
     for m in mappings:
-        here = F.col("fingerprint") == m.fingerprint
+        here = F.col("fingerprint").isin(m.fingerprints)
         if m.path:
             listed = F.try_variant_get(F.col("__v"), m.path, f"array<struct<`{m.role}`:string,`{m.text}`:string>>")
             got = F.transform(listed, _reader(m))
@@ -139,43 +146,65 @@ def unescape_all(segments: Column) -> Column:
     return F.array_join(F.transform(segments, lambda s: unescape(s["text"])), "")
 
 
-def conversation_records(rows: DataFrame) -> DataFrame:
-    """Rows of turns (conv_id, turn, role, text) put together to one record per conversation.
+def conversation_records(rows: DataFrame, turns_a_record: int | None = None) -> DataFrame:
+    """Rows of turns (conv_id, turn, role, text) put together to records: conv_id, part, record. All turns in one, or about ``turns_a_record`` in each part.
 
-    Plain exchanges take the prompt layouts, all others the list of rows: the records then have the layouts in which such data come.
+    The records have the layouts in which such data come: exchanges with plain roles take one that a hash of the conversation's id
+    chooses, all others the list of rows.
     """
     turn = F.struct(F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    got = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("rows"))
+    part = F.lit(0) if turns_a_record is None else F.coalesce(F.floor(F.col("turn").cast("bigint") / turns_a_record), F.lit(-(2**63)))
+    got = rows.groupBy("conv_id", part.cast("bigint").alias("part")).agg(F.array_sort(F.collect_list(turn)).alias("rows"))
     # array_sort puts a turn without number last; it goes first
     first = F.concat(F.filter("rows", lambda x: x["turn"].isNull()), F.filter("rows", lambda x: x["turn"].isNotNull()))
-    got = got.select("conv_id", first.alias("rows"))
-    roles, said = F.array_join(F.transform("rows", lambda x: x["role"]), ","), lambda k: F.element_at("rows", k)["text"]
-    pair = (F.size("rows") == 2) & (roles == "user,assistant")
-    three = (F.size("rows") == 3) & (roles == "system,user,assistant")
-    record = (
-        F.when(pair, F.to_json(F.struct(F.get("rows", F.lit(0))["text"].alias("prompt"), F.get("rows", F.lit(1))["text"].alias("completion"))))
-        .when(three, F.to_json(F.struct(F.get("rows", F.lit(0))["text"].alias("system"), F.get("rows", F.lit(1))["text"].alias("prompt"), F.get("rows", F.lit(2))["text"].alias("completion"))))
-        .otherwise(F.to_json(F.struct(F.transform("rows", lambda x: F.struct(F.coalesce(x["turn"], F.lit(-1)).alias("turn"), x["role"].alias("role"), x["text"].alias("text"))).alias("rows"))))
+    got = got.select("conv_id", "part", first.alias("rows"))
+    roles, said = F.array_join(F.transform("rows", lambda x: x["role"]), ","), lambda k: F.get("rows", F.lit(k))["text"]
+    plain = F.forall("rows", lambda x: x["role"].isin("system", "user", "assistant"))
+    lot = lambda n: F.pmod(F.xxhash64("conv_id"), F.lit(n))
+    record = lambda *fields: F.to_json(F.struct(*(said(k).alias(name) for name, k in fields)))
+    pair, three = (F.size("rows") == 2) & (roles == "user,assistant"), (F.size("rows") == 3) & (roles == "system,user,assistant")
+    listed = lambda name, *fields: F.to_json(F.struct(F.transform("rows", lambda x: F.struct(*(c(x).alias(f) for f, c in fields))).alias(name)))
+    role, text = lambda x: x["role"], lambda x: x["text"]
+    made = (
+        F.when(pair & (lot(6) == 0), record(("prompt", 0), ("response", 1)))
+        .when(pair & (lot(6) == 1), record(("instruction", 0), ("output", 1)))
+        .when(pair & (lot(6) == 2), record(("question", 0), ("answer", 1)))
+        .when(pair & (lot(6) == 3), F.to_json(F.struct(F.struct(said(0).alias("prompt"), said(1).alias("completion")).alias("data"))))
+        .when(pair, record(("prompt", 0), ("completion", 1)))
+        .when(three & (lot(2) == 0), record(("instruction", 0), ("input", 1), ("output", 2)))
+        .when(three, record(("system", 0), ("prompt", 1), ("completion", 2)))
+        .when(plain & (lot(3) == 0), listed("messages", ("role", role), ("content", text)))
+        .when(plain & (lot(3) == 1), listed("conversations", ("from", role), ("value", text)))
+        .otherwise(listed("rows", ("turn", lambda x: F.coalesce(x["turn"], F.lit(-1))), ("role", role), ("text", text)))
     )
-    return got.select("conv_id", record.alias("record"))
+    return got.select("conv_id", "part", made.alias("record"))
+
+
+def joined(parts: DataFrame) -> DataFrame:
+    """conv_id and whole: the templated texts of a conversation's parts (conv_id, part, segments), joined in their order."""
+    texts = parts.select("conv_id", "part", formatted(F.col("segments")).alias("text"))
+    return texts.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "text"))), lambda x: x["text"]), "").alias("whole"))
 
 
 CHECK_TEXT = "</s>[INST] ok [/INST]"
 
 
+TURNS_A_RECORD = 64
+
+
 def op9_chat_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests, read back from the templated text, of every conversation and of one whose texts look like control strings."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.sql(f"SELECT -1L conv_id, stack(2, 0L, 'user', '{CHECK_TEXT}', 1L, 'assistant', '{CHECK_TEXT}') AS (turn, role, text)")
-    out = format_turns(canonical_turns(conversation_records(rows.unionByName(extra))))
-    text, turns, loss = formatted(F.col("segments")), read_turns(F.col("whole")), loss_text(F.col("segments"))
+    canonical = canonical_turns(conversation_records(rows.unionByName(extra), TURNS_A_RECORD))
+    whole = F.coalesce("turns", F.raise_error(F.lit("a record has no layout, or is beyond the size of a parsed value")).cast(TURNS))
+    out = joined(format_turns(canonical.withColumn("turns", whole))).select("conv_id", "whole", read_turns(F.col("whole")).alias("back"))
+    # texts under the loss mask as they stand in the templated text, between the marks of assistants' turns
+    loss = F.array_join(F.transform(F.filter("back", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
     digest = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return (
-        out.select("conv_id", "segments", text.alias("whole")).select("conv_id", "whole", turns.alias("back"), loss.alias("loss"))
-        .select(
-            "conv_id", F.size("back").cast("bigint").alias("n_turns"), F.sha2(digest.cast("binary"), 256).alias("turns_sha256"),
-            F.length("loss").cast("bigint").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), F.length("whole").cast("bigint").alias("formatted_chars"),
-        )
+    return out.select("conv_id", "whole", "back", loss.alias("loss")).select(
+        "conv_id", F.size("back").cast("bigint").alias("n_turns"), F.sha2(digest.cast("binary"), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), F.length("whole").cast("bigint").alias("formatted_chars"),
     )
 
 

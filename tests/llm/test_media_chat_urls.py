@@ -77,6 +77,7 @@ RECORDS = {
     "messages": {"messages": [{"role": "human", "content": "hi"}, {"role": "gpt", "content": None}]},
     "conversations": {"conversations": [{"from": "human", "value": "x"}, {"value": "y", "from": "gpt"}]},
     "nested": {"data": {"prompt": "p", "completion": "c"}},
+    "rows": {"rows": []},
     "instruction_input": {"instruction": "i", "output": "o", "input": "n"},
     None: {"zzz": 1},
 }
@@ -144,3 +145,20 @@ def test_captures_with_clashing_columns_and_a_hot_address(spark):
     got = urls.judge(cap, urls.list_entries(spark, entries)).collect()
     assert sorted((r["id"], r["decision"], r["rule"]) for r in got) == [(k, "block", "host:x.org") if k % 10 else (k, "keep", "host:org") for k in range(6000)]
     assert all((r["t"], r["u"], r["r"], r["_share"], r["k.kind"]) == ("t", "u", "r", 1, "k") for r in got)
+
+
+def test_every_layout_is_met_and_long_conversations_come_back_whole(spark):
+    """Turns of many records, of all layouts, and of roles that layouts would rename, come back in order."""
+    rnd = random.Random(17)
+    rows, want = [], {}
+    for c in range(120):
+        roles = [["user", "assistant"], ["system", "user", "assistant"], ["user", "assistant"] * 90, ["human", "gpt", "bot"], ["user"]][c % 5]
+        want[c] = [(r, rnd.choice(["hi", "", "<|end|>\n", "\\\\l", "a\nb"]) + str(k)) for k, r in enumerate(roles)]
+        rows += [(c, k, r, t) for k, (r, t) in enumerate(want[c])]
+    rnd.shuffle(rows)
+    records = chat.conversation_records(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), 64)
+    canonical = chat.canonical_turns(records)
+    assert {r["layout"] for r in canonical.select("layout").distinct().collect()} == {m.name for m in chat.MAPPINGS}
+    assert canonical.groupBy("conv_id").count().agg(F.max("count")).first()[0] == 3
+    out = chat.joined(chat.format_turns(canonical)).withColumn("back", chat.read_turns(F.col("whole")))
+    assert {r["conv_id"]: [tuple(t) for t in r["back"]] for r in out.collect()} == want

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+PASSING = 2048
+
+
 @dataclass
 class Logistic:
     mean: np.ndarray
@@ -29,27 +32,48 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, penalty: float = 1.0, steps: int = 25) -> Logistic:
-    """y in [0, 1]. With no rows, or rows of one class, the model gives (nearly) the smoothed share of that class everywhere."""
+    """y in [0, 1]. With no rows, or rows of one class, the model gives (nearly) the smoothed share of that class everywhere.
+
+    Rows are standardised in passing, a few thousand at a time, so that x (of any precision) is the only large array.
+    """
     n, d = x.shape
     w = np.ones(n) if weight is None else weight.astype(float)
     share = (float((w * y).sum()) + 0.5) / (float(w.sum()) + 1)
-    mean = x.mean(0) if n else np.zeros(d)
-    scale = x.std(0) if n else np.ones(d)
+    mean = x.mean(0, dtype=float) if n else np.zeros(d)
+    scale = x.std(0, dtype=float) if n else np.ones(d)
     scale = np.where(scale < 1e-9, 1.0, scale)
-    z = np.hstack([(x - mean) / scale, np.ones((n, 1))])
     b = np.zeros(d + 1)
     b[-1] = math.log(share / (1 - share))
     if n and 0 < float((w * y).sum()) < float(w.sum()):
         ridge = np.diag(np.append(np.full(d, penalty), 1e-3))
         centre = np.append(np.zeros(d), b[-1])
+
+        def passing(at: int) -> tuple[slice, np.ndarray]:
+            part = slice(at, at + PASSING)
+            return part, np.hstack([(x[part] - mean) / scale, np.ones((len(x[part]), 1))])
+
+        def loss(b: np.ndarray) -> float:
+            out = float((b - centre) @ ridge @ (b - centre)) / 2
+            for at in range(0, n, PASSING):
+                part, z = passing(at)
+                t = z @ b
+                out += float((w[part] * (np.logaddexp(0, t) - y[part] * t)).sum())
+            return out
+
+        now = loss(b)
         for _ in range(steps):
-            p = sigmoid(z @ b)
-            g = z.T @ (w * (p - y)) + ridge @ (b - centre)
-            h = (z * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + ridge
-            step = np.linalg.solve(h, g)
-            size = float(np.abs(step).max())
-            b = b - step * min(1.0, 4.0 / max(size, 1e-12))
-            if size < 1e-5:
+            g, h = ridge @ (b - centre), ridge.copy()
+            for at in range(0, n, PASSING):
+                part, z = passing(at)
+                p = sigmoid(z @ b)
+                g += z.T @ (w[part] * (p - y[part]))
+                h += (z * (w[part] * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z
+            step, share = np.linalg.solve(h, g), 1.0
+            falls = float(step @ g)
+            while (then := loss(b - share * step)) > now - 1e-4 * share * falls and share > 1e-6:
+                share /= 2  # a full step may pass the minimum by far
+            b, now = b - share * step, min(now, then)
+            if falls < 1e-7 * max(1.0, now):
                 break
     return Logistic(mean, scale, b[:-1], float(b[-1]))
 

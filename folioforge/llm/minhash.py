@@ -45,7 +45,7 @@ WORDS, THRESHOLD, REGISTERS, ROWS = 5, 0.8, 80, 4
 KEYS = ["id0", "no_id", "key_a", "key_b"]
 LEAST_ESTIMATE, BLOCK, BLOCK_SHINGLES = 0.55, 512, 1_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
-_LIMIT = 2_000_000
+_LIMIT = 1_000_000
 _POWERS: list[np.ndarray] = []
 
 

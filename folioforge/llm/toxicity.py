@@ -39,6 +39,7 @@ SAMPLE, TERMS, FOLDS, REJECT = 8_000, 400, 5, 0.5
 CATEGORIES = ("mention", "severe", "toxic")
 STEMS = (4, 5, 6)
 LEAST_ODDS, DOUBT = 2.0, 1.0
+MEMORY = 150_000  # words whose terms a task remembers
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -65,7 +66,7 @@ class Chain:
     def of_word(self, w: str) -> tuple[int, ...]:
         got = self.known.get(w)
         if got is None:
-            if len(self.known) > 400_000:
+            if len(self.known) > MEMORY:
                 self.known.clear()
             got = self.known[w] = tuple(self.place[t] for t in terms_of({w}) if t in self.place)
         return got
@@ -104,21 +105,24 @@ class Rows:
     fold: np.ndarray
     weight: np.ndarray
 
-    def features(self, k: int) -> np.ndarray:
-        """As Chain.features of the list's terms."""
+    def features(self, k: int, earlier: np.ndarray | None = None) -> np.ndarray:
+        """As Chain.features of the list's terms, in single precision, with the earlier probabilities behind them."""
         at, strength = self.lists[k]
         n, d = len(self.y), len(at)
         row = np.repeat(np.arange(n), np.diff(self.edges))
         place = np.full(int(max(self.present.max(initial=-1), at.max(initial=-1))) + 1, -1)
         place[at] = np.arange(d)
         col = place[self.present] if len(self.present) else np.zeros(0, np.int64)
-        out = np.zeros((n, d + 4))
+        more = 0 if earlier is None else earlier.shape[1]
+        out = np.zeros((n, d + 4 + more), np.float32)
         out[row[col >= 0], col[col >= 0]] = 1
         if d:
-            np.maximum.at(out[:, d + 3], row[col >= 0], strength[col[col >= 0]])
+            np.maximum.at(out[:, d + 3], row[col >= 0], strength[col[col >= 0]].astype(np.float32))
         out[:, d] = self.hits[:, k] / np.maximum(1, self.words)
         out[:, d + 1], out[:, d + 2] = np.log1p(self.hits[:, k]), np.log1p(self.words)
-        return out.astype(np.float32).astype(float)
+        if more:
+            out[:, d + 4 :] = earlier
+        return out
 
     def usual(self, k: int, rows: np.ndarray) -> float:
         share = self.hits[rows, k] / np.maximum(1, self.words[rows])
@@ -134,9 +138,10 @@ def fit_link(rows: Rows, link: int, k: int, earlier: np.ndarray) -> tuple[Logist
     """The model of a link without fold k (or of all rows, for the last k), the usual share it went by, and its probabilities for the rows it left out."""
     seen = rows.fold != k
     usual = rows.usual(k, np.flatnonzero(seen))
-    full = np.hstack([rows.features(k), earlier])
-    model = fit(full[seen], rows.target(link, k, usual)[seen], rows.weight[seen], penalty=2.0)
-    return model, usual, model.p(full[~seen])
+    full = rows.features(k, earlier)
+    left_out, full = full[~seen].astype(float), full[seen]
+    model = fit(full, rows.target(link, k, usual)[seen], rows.weight[seen], penalty=2.0)
+    return model, usual, model.p(left_out)
 
 
 def fit_chain(rows: Rows, terms: list[str], spark: SparkSession | None = None) -> tuple[Chain, np.ndarray]:
@@ -213,6 +218,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, n_t
                 words, here = words_of(text), set()
                 for w in words:
                     if w not in of:
+                        if len(of) > MEMORY:
+                            of.clear()
                         mine = [t for t in terms_of({w}) if t in place]
                         bits = 0
                         for t in mine:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,14 +16,18 @@ def true_median(name: str) -> Column:
     return F.expr(f"percentile_cont(0.5) WITHIN GROUP (ORDER BY `{name}`)")
 
 
-def exclusive_quantile(name: str, q: float) -> Column:
-    """Between the elements around place q * (n + 1), counted from 1; null for fewer than two values."""
-    n = F.count(name)
-    place = q * (n + 1)
-    # percentile_cont puts its argument at 1 + f * (n - 1); the values are gathered per group, so groups should be modest
-    x = F.array_sort(F.collect_list(name))
-    j = F.least(F.greatest(F.floor(place), F.lit(1)), n - 1).cast("int")
-    return F.when(n >= 2, F.get(x, j - 1) + (F.get(x, j) - F.get(x, j - 1)) * (place - j))
+def exclusive_quantiles(rows: DataFrame, by: list[str], name: str, q: float) -> DataFrame:
+    """by, value: between the elements around place q * (n + 1), counted from 1, of each group of two values or more.
+
+    Places are counted from the numbers of equal values, which partial aggregation makes before the shuffle: no list or window holds a group.
+    """
+    n = rows.where(F.col(name).isNotNull()).groupBy(*by, F.col(name).alias("x")).agg(F.count("*").alias("c"))
+    w = Window.partitionBy(*by)
+    at = n.withColumn("upto", F.sum("c").over(w.orderBy("x"))).withColumn("n", F.sum("c").over(w))
+    place = q * (F.col("n") + 1)
+    low = F.least(F.greatest(F.floor(place), F.lit(1)), F.col("n") - 1)
+    ends = at.where("n >= 2").groupBy(*by).agg(F.min(F.when(F.col("upto") >= low, F.col("x"))).alias("a"), F.min(F.when(F.col("upto") >= low + 1, F.col("x"))).alias("b"), F.max(place - low).alias("part"))
+    return ends.select(*by, (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))
 
 
 def share(part: Column, whole: Column, digits: int = 4) -> Column:

@@ -90,6 +90,13 @@ def strip_parenthetical(x: Column) -> Column:
     return F.regexp_replace(x, r"\s*\([^)]*\)", "")
 
 
+def distinct_names(names: Column) -> Column:
+    """The first of names that differ only in case and blanks, in order."""
+    keys = F.transform(names, squeeze)
+    first = F.filter(F.transform(names, lambda x, i: F.struct(x.alias("x"), (F.array_position(keys, F.get(keys, i)) == i + 1).alias("keep"))), lambda s: s["keep"])
+    return F.transform(first, lambda s: s["x"])
+
+
 def title_name(x: Column) -> Column:
     """Readable capitals for a name in upper case: particles after the first word stay low; parts of hyphenated and elided words count."""
     low = F.array(*map(F.lit, PARTICLES))

@@ -34,15 +34,19 @@ def asof_backward_split(left: DataFrame, right: DataFrame, by: list[str], on: st
     ``bucket`` is an expression of ``on`` that never falls as ``on`` rises (such as its day). What a bucket starts with is the last right
     row of any bucket before it, had from one row a key and bucket.
     """
-    held = F.struct(F.col(on), *(F.col(v) for v in values))
+    held = F.struct(F.col(on), F.struct(*(F.col(v) for v in values)).alias("__v"))
     last = right.withColumn("__b", bucket).groupBy(*by, "__b").agg(F.max(held).alias("__last"))
     marks = last.unionByName(left.select(*by, bucket.alias("__b")).distinct(), allowMissingColumns=True)
     one = marks.groupBy(*by, "__b").agg(F.max("__last").alias("__last"))
     w = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    start = one.select(*by, "__b", F.last("__last", ignorenulls=True).over(w).alias("__start"))
-    inner = asof_backward(left.withColumn("__b", bucket), right.withColumn("__b", bucket), [*by, "__b"], on, values)
-    out = inner.join(start, [*by, "__b"], "left")
-    return out.select(*left.columns, *(F.when(F.col(f"prev_{v}").isNotNull(), F.col(f"prev_{v}")).otherwise(F.col(f"__start.{v}")).alias(f"prev_{v}") for v in values))
+    keys = [*by, "__b"]
+    start = one.select(*(F.col(k).alias(f"__k{n}") for n, k in enumerate(keys)), F.last("__last.__v", ignorenulls=True).over(w).alias("__start"))
+    # whole rows are carried: a right row whose values are null is a row, and hides those before it
+    whole = right.select(*by, on, F.struct(*(F.col(v) for v in values)).alias("__row")).withColumn("__b", bucket)
+    inner = asof_backward(left.withColumn("__b", bucket), whole, keys, on, ["__row"])
+    out = inner.join(start, [F.col(k).eqNullSafe(F.col(f"__k{n}")) for n, k in enumerate(keys)], "left")
+    got = F.when(F.col("prev___row").isNotNull(), F.col("prev___row")).otherwise(F.col("__start"))
+    return out.select(*left.columns, got.alias("__got")).select(*left.columns, *(F.col(f"__got.{v}").alias(f"prev_{v}") for v in values))
 
 
 def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None) -> DataFrame:
@@ -82,6 +86,20 @@ def islands(rows: DataFrame, by: list[str], order: str, flag: Column) -> DataFra
     return runs.withColumn("island", F.row_number().over(Window.partitionBy(*by).orderBy("first"))).drop("__g")
 
 
+def with_next(rows: DataFrame, order: str, name: str, parts: int = 200) -> DataFrame:
+    """rows with the next larger or equal value of a numeric column over the whole table (null for the last), ties in no order.
+
+    The table is cut at ``parts`` approximate quantiles; each part looks ahead on its own, and its last row takes the next part's least value.
+    """
+    cuts = sorted(set(rows.approxQuantile(order, [k / parts for k in range(1, parts)], 0.5 / parts)))  # at most parts - 1 numbers
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(order))) if cuts else F.lit(0)
+    cut = rows.withColumn("__part", part)
+    least = cut.where(F.col(order).isNotNull()).groupBy("__part").agg(F.min(order).alias("__m"))  # at most ``parts`` rows
+    after = least.withColumn("__after", F.lead("__m").over(Window.orderBy("__part"))).drop("__m")
+    ahead = F.lead(order).over(Window.partitionBy("__part").orderBy(F.col(order).asc_nulls_first()))
+    return cut.withColumn("__ahead", ahead).join(F.broadcast(after), "__part", "left").withColumn(name, F.when(F.col(order).isNotNull(), F.coalesce("__ahead", "__after"))).drop("__part", "__ahead", "__after")
+
+
 def latest(rows: DataFrame, key: list[str], order: Column) -> DataFrame:
     """Upsert: of each key the row of the highest order. A hash aggregation with partial results in every task."""
     rest = [c for c in rows.columns if c not in key]

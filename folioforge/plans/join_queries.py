@@ -228,21 +228,11 @@ def similarity_pairs(spark: SparkSession, d: str) -> DataFrame:
     return similar.pair_within_blocks(a.distinct(), b.distinct(), "name")
 
 
-@query("SELECT a.p_partkey AS a, b.p_partkey AS b, levenshtein(a.p_name, b.p_name)::INT AS edits FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey WHERE levenshtein(a.p_name, b.p_name) <= CASE WHEN length(a.p_name) <= 5 THEN 1 ELSE 2 END")
-def similarity_edits(spark: SparkSession, d: str) -> DataFrame:
-    """Near names among parts of one brand and size, as its SQL asks; similarity_edits_all takes all parts."""
-    p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    q = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("other"), "p_brand", "p_size")
-    edits = F.levenshtein("p_name", "other")
-    pairs = p.withColumnRenamed("p_partkey", "a").join(q, ["p_brand", "p_size"]).where(F.col("a") < F.col("b"))
-    return pairs.where(edits <= F.when(F.length("p_name") <= 5, 1).otherwise(2)).select("a", "b", edits.alias("edits"))
-
-
 @query("""WITH r AS (SELECT p_name, min(p_partkey) AS rep FROM part GROUP BY p_name)
 SELECT 'member' AS kind, p_partkey AS a, rep AS b, 0::INT AS edits FROM part JOIN r USING (p_name) WHERE p_partkey <> rep
 UNION ALL SELECT 'pair', x.rep, y.rep, levenshtein(x.p_name, y.p_name)::INT FROM r x JOIN r y ON x.p_name <> y.p_name WHERE levenshtein(x.p_name, y.p_name) <= CASE WHEN length(x.p_name) <= 5 THEN 1 ELSE 2 END""")
 def similarity_edits_all(spark: SparkSession, d: str) -> DataFrame:
-    """similarity_edits among all parts, whatever their brand and size: the first part of each name stands for those of that name ('member'), and the first
+    """Near names among all parts: the first part of each name stands for those of that name ('member'), and the first
     parts of near names are paired ('pair', by the edits that the length of a's name allows). Parts are linked where those that stand for them are."""
     p = table(spark, d, "part").select("p_partkey", "p_name")
     r = p.groupBy("p_name").agg(F.min("p_partkey").alias("rep"))

@@ -6,21 +6,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import docstream, layout, search, similar
+from ..operators import docstream, joins, layout, search, similar
 from ..session import table
 from ..sources import sinks
 from .registry import query
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'region' || c_nationkey % 5 || ' > Nation' || c_nationkey ELSE 'region' || c_nationkey % 5 || ' > Nation' || c_nationkey || ' > Seg' END AS chain FROM customer")
+CHAIN = ["concat('region', c_nationkey % 5)", "concat('Nation', c_nationkey)", "upper(concat('region', c_nationkey % 5))", "concat(' Nation', c_nationkey)", "concat(CASE c_custkey % 3 WHEN 0 THEN '' ELSE 'Seg ' END, 'Nation', c_nationkey)"]
+
+
+@query(f"""WITH n AS (SELECT c_custkey, [{", ".join(CHAIN)}] AS names FROM customer), k AS (SELECT *, list_transform(names, lambda x: trim(regexp_replace(lower(x), '\\s+', ' ', 'g'))) AS keys FROM n)
+SELECT c_custkey, array_to_string(list_transform(list_filter(range(1, 6), lambda i: list_position(keys, keys[i]) = i), lambda i: names[i]), ' > ') AS chain FROM k""")
 def tidy_chain(spark: SparkSession, d: str) -> DataFrame:
     """A chain of names without repeats that differ in case or blanks only; the first of each is kept, in order."""
-    n = F.col("c_nationkey")
-    region, nation = F.concat(F.lit("region"), (n % 5).cast("string")), F.concat(F.lit("Nation"), n.cast("string"))
-    names = F.array(region, nation, F.upper(region), F.concat(F.lit(" "), nation), F.when(F.col("c_custkey") % 2 == 0, nation).otherwise(F.lit("Seg")))
-    keys = F.transform("names", T.squeeze)
-    first = F.filter(F.transform("names", lambda x, i: F.struct(x.alias("x"), (F.array_position("keys", F.element_at("keys", i + 1)) == i + 1).alias("keep"))), lambda s: s["keep"])
-    return table(spark, d, "customer").select("c_custkey", names.alias("names")).withColumn("keys", keys).select("c_custkey", F.array_join(F.transform(first, lambda s: s["x"]), " > ").alias("chain"))
+    return table(spark, d, "customer").select("c_custkey", T.distinct_names(F.array(*map(F.expr, CHAIN))).alias("names")).select("c_custkey", F.array_join("names", " > ").alias("chain"))
 
 
 @query("SELECT c_nationkey, c_mktsegment, min(c_custkey) AS first_key, count(*) AS n FROM customer WHERE NOT regexp_matches(c_name, '^Q[0-9]+$') GROUP BY ALL")
@@ -36,16 +35,17 @@ def missing_pages(spark: SparkSession, d: str) -> DataFrame:
     """Printed numbers between the first and the last that no page has."""
     k = F.col("s_suppkey")
     p = table(spark, d, "supplier").select(F.when(k % 4 != 0, k + 8 + F.floor(k / 50)).alias("printed")).where("printed IS NOT NULL")
-    ends = p.agg(F.min("printed").alias("a"), F.max("printed").alias("b"))
-    return ends.select(F.explode(F.sequence("a", "b")).alias("printed")).join(p, "printed", "left_anti")
+    ends = p.agg(F.min("printed").alias("a"), F.max("printed").alias("b")).first()  # two numbers; the range between them is made by tasks
+    every = spark.range(ends["a"] or 0, (ends["b"] if ends["b"] is not None else -1) + 1).toDF("printed")
+    return every.join(p, "printed", "left_anti")
 
 
 @query("""WITH v AS (SELECT user_id, min(event_id) AS first, max(event_id) AS last, arg_min(event_type, event_id) AS head, arg_max(event_type, event_id) AS tail FROM events GROUP BY user_id)
 SELECT user_id, first, last, head, tail, lead(first) OVER (ORDER BY first) - last AS gap FROM v""")
 def volume_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """First and last of each volume and the gap to the next one (negative: overlap). One row a volume reaches the last window."""
+    """First and last of each volume and the gap to the next one (negative: overlap). No task holds all volumes."""
     v = table(spark, d, "events").groupBy("user_id").agg(F.min("event_id").alias("first"), F.max("event_id").alias("last"), F.min_by("event_type", "event_id").alias("head"), F.max_by("event_type", "event_id").alias("tail"))
-    return v.withColumn("gap", F.lead("first").over(Window.orderBy("first")) - F.col("last"))
+    return joins.with_next(v, "first", "next").select("user_id", "first", "last", "head", "tail", (F.col("next") - F.col("last")).alias("gap"))
 
 
 @query("SELECT doc_id, instr(lower(text), 'tion') AS at, CASE WHEN instr(lower(text), 'tion') > 0 THEN substr(text, greatest(instr(lower(text), 'tion') - 20, 1), 44) END AS snippet FROM documents")
@@ -54,16 +54,6 @@ def snippets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.instr(F.lower(t), "tion").cast("bigint").alias("at"), search.snippet(t, F.lit("tion"), 20).alias("snippet"))
 
 
-@query("""WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), q AS (SELECT word AS asked, CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END AS most FROM w)
-SELECT asked, word, levenshtein(asked, word)::INT AS edits FROM q JOIN w ON left(asked, 1) = left(word, 1) AND asked <> word WHERE levenshtein(asked, word) <= most""")
-def fuzzy_words(spark: SparkSession, d: str) -> DataFrame:
-    """Words within the edits their length allows, of one first letter, as its SQL asks; fuzzy_words_all has no such restriction."""
-    w = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
-    q = w.select(F.col("word").alias("asked"), F.left("word", F.lit(1)).alias("b"))
-    pairs = q.join(w.withColumn("b", F.left("word", F.lit(1))), "b").where("asked <> word")
-    return pairs.select("asked", "word", F.levenshtein("asked", "word").alias("edits")).where(F.col("edits") <= search.edit_limit(F.col("asked")))
-
-
 @query("""WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part), q AS (SELECT word AS asked, CASE WHEN length(word) <= 2 THEN 0 WHEN length(word) <= 5 THEN 1 ELSE 2 END AS most FROM w)
 SELECT asked, word, levenshtein(asked, word)::INT AS edits FROM q JOIN w ON asked <> word WHERE levenshtein(asked, word) <= most""")
 def fuzzy_words_all(spark: SparkSession, d: str) -> DataFrame:
@@ -98,26 +88,31 @@ def anchor_search(spark: SparkSession, d: str) -> DataFrame:
     return w.withColumn("at", at.cast("int")).where("at > 0").select("doc_id", "at", F.array_max(part)["x"].alias("best"))
 
 
-@query("""SELECT doc_id, length(text) <= 1400 AS whole, CASE WHEN length(text) <= 1400 THEN length(text) END AS n FROM documents""")
+@query("""WITH h AS (SELECT doc_id, text, substr(text, 1, 1400) AS head FROM documents), c AS (SELECT *, regexp_extract(head, '^([\\s\\S]*[.!?])\\s', 1) AS cut FROM h),
+t AS (SELECT doc_id, CASE WHEN length(text) <= 1400 THEN text WHEN length(cut) >= 700 THEN cut ELSE head || '…' END AS shown FROM c)
+SELECT doc_id, length(shown) AS n, sha256(shown) AS shown_sha256 FROM t""")
 def sentence_trim(spark: SparkSession, d: str) -> DataFrame:
-    t = F.col("text")
-    cut = T.trim_sentence(t, 1400)
-    return table(spark, d, "documents").select("doc_id", (cut == t).alias("whole"), F.when(cut == t, F.length(cut).cast("bigint")).alias("n"))
+    shown = T.trim_sentence(F.col("text"), 1400)
+    return table(spark, d, "documents").select("doc_id", F.length(shown).cast("bigint").alias("n"), F.sha2(shown.cast("binary"), 256).alias("shown_sha256"))
+
+
+SCRIPT_NAME = "CASE s_suppkey % 7 WHEN 0 THEN concat('Lyon ', s_suppkey) WHEN 1 THEN 'Lyon 里昂' WHEN 2 THEN 'Лион x' WHEN 3 THEN 'ليون' WHEN 4 THEN '12 とう' WHEN 5 THEN 'Αθήνα' ELSE s_name END"
+SCRIPTS_SQL = " ".join(f"WHEN regexp_matches(letter, '\\p{{{p}}}') THEN '{n}'" for n, p in (("Han", "Han"), ("Kana", "Hiragana"), ("Katakana", "Katakana"), ("Hangul", "Hangul"), ("Cyrillic", "Cyrillic"), ("Arabic", "Arabic"), ("Greek", "Greek"), ("Hebrew", "Hebrew"), ("Devanagari", "Devanagari"), ("Thai", "Thai")))
 
 
-@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Latin' WHEN 1 THEN 'Han' WHEN 2 THEN 'Cyrillic' ELSE 'Arabic' END AS script FROM supplier")
+@query(f"SELECT s_suppkey, CASE WHEN letter = '' THEN 'Latin' {SCRIPTS_SQL} ELSE 'Other' END AS script FROM (SELECT s_suppkey, regexp_extract({SCRIPT_NAME}, '[^\\P{{L}}\\p{{Latin}}]') AS letter FROM supplier)")
 def scripts(spark: SparkSession, d: str) -> DataFrame:
-    name = F.element_at(F.array(*map(F.lit, ("Lyon", "Lyon 里昂", "Лион x", "ليون"))), (F.col("s_suppkey") % 4 + 1).cast("int"))
-    return table(spark, d, "supplier").select("s_suppkey", T.script_of(name).alias("script"))
+    return table(spark, d, "supplier").select("s_suppkey", T.script_of(F.expr(SCRIPT_NAME)).alias("script"))
 
 
-@query("""WITH v AS (SELECT c_custkey, upper(c_mktsegment) AS a, 'OF ' || upper(c_mktsegment) AS b FROM customer)
-SELECT c_custkey, c_custkey % 2 = 0 AS same FROM v""")
+OURS, THEIRS = "concat(upper(c_mktsegment), ' (LAKE)')", "CASE c_custkey % 4 WHEN 0 THEN concat('Lake ', c_mktsegment) WHEN 1 THEN concat('Mount ', c_mktsegment, ' or lake ', c_mktsegment) WHEN 2 THEN concat(c_mktsegment, '; Hill') ELSE concat('Lakes, ', c_mktsegment) END"
+KEYS_SQL = "list_filter(list_transform(string_split_regex(upper({}), '\\s+OR\\s+|;'), lambda v: array_to_string(list_sort(list_filter(string_split_regex(regexp_replace(v, '[^A-Z ]', ' ', 'g'), ' +'), lambda t: t <> '')), ' ')), lambda k: k <> '')"
+
+
+@query(f"SELECT c_custkey, list_has_any({KEYS_SQL.format(OURS)}, {KEYS_SQL.format(THEIRS)}) AS same FROM customer")
 def heading_agreement(spark: SparkSession, d: str) -> DataFrame:
     """Headings agree if any of their keys do, whatever the order of their words."""
-    name = F.upper("c_mktsegment")
-    ours, theirs = F.concat(name, F.lit(" (LAKE)")), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Lake "), name)).otherwise(F.concat(F.lit("Mount "), name))
-    return table(spark, d, "customer").select("c_custkey", F.arrays_overlap(T.heading_keys(ours), T.heading_keys(theirs)).alias("same"))
+    return table(spark, d, "customer").select("c_custkey", F.arrays_overlap(T.heading_keys(F.expr(OURS)), T.heading_keys(F.expr(THEIRS))).alias("same"))
 
 
 @query("SELECT l_orderkey, ((min(l_suppkey) * 90) % 360)::INT AS rotation FROM (SELECT l_orderkey, l_suppkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, (l_suppkey * 90) % 360, l_suppkey) AS r FROM (SELECT l_orderkey, l_suppkey % 4 AS l_suppkey, sum(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL)) WHERE r = 1 GROUP BY l_orderkey")
@@ -127,34 +122,25 @@ def page_rotation(spark: SparkSession, d: str) -> DataFrame:
     return layout.best_rotation(scored, "l_orderkey")
 
 
-@query("SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 1 AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0)")
+@query("""WITH s AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 = 0), f AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT * FROM s UNION ALL SELECT o_custkey, min(o_orderkey) FROM f WHERE o_custkey NOT IN (SELECT o_custkey FROM s) GROUP BY o_custkey""")
 def insert_or_ignore(spark: SparkSession, d: str) -> DataFrame:
+    """A table with a unique key, and rows of which each new key enters once, by its least order; the two together are all orders."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey")
-    return sinks.added(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 3 = 1"), ["o_custkey"])
-
-
-@query("SELECT source, count(*) AS n_pages, sum(length(text))::BIGINT + count(*) - 1 AS n_chars FROM documents WHERE doc_id % 10 = 0 OR true GROUP BY source")
-def merged_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Pages and characters of each volume's merge, from the pages alone: the merge itself is only made where it is written."""
-    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n_pages"), (F.sum(F.length("text")) + F.count("*") - 1).alias("n_chars"))
-
-
-@query("""SELECT c_custkey, c_nationkey, floor(((c_custkey * 53) % 361) / 360.0 * 8)::DOUBLE AS tile_x FROM customer WHERE (c_custkey * 37) % 181 - 90 BETWEEN -80 AND 80""")
-def map_tiles(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("c_custkey")
-    lon, lat = (F.pmod(k * 53, F.lit(361)) - 180).cast("double"), (F.pmod(k * 37, F.lit(181)) - 90).cast("double")
-    return table(spark, d, "customer").where(lat.between(-80, 80)).select("c_custkey", "c_nationkey", search.tile_of(lon, lat, 3)["x"].cast("double").alias("tile_x"))
+    return sinks.added(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 3 <> 0"), ["o_custkey"])
 
 
 @query("""SELECT c_custkey, c_nationkey, floor(((c_custkey * 53) % 361) / 360.0 * 8)::DOUBLE AS tile_x FROM customer""")
 def map_tiles_all(spark: SparkSession, d: str) -> DataFrame:
-    """map_tiles of all customers, those beyond 80 degrees too."""
+    """The column of tiles that holds each customer's point."""
     k = F.col("c_custkey")
     lon, lat = (F.pmod(k * 53, F.lit(361)) - 180).cast("double"), (F.pmod(k * 37, F.lit(181)) - 90).cast("double")
     return table(spark, d, "customer").select("c_custkey", "c_nationkey", search.tile_of(lon, lat, 3)["x"].cast("double").alias("tile_x"))
 
 
-@query()
+@query("""WITH b AS (SELECT conv_id, count(*)::INT AS n_pages, string_agg(coalesce(text, ''), chr(12) ORDER BY turn) AS body FROM conversations GROUP BY conv_id),
+t AS (SELECT conv_id, n_pages, '<!-- merge: pages=' || n_pages || ' sha256=' || sha256(body)[1:16] || ' -->' || chr(10) || body AS text FROM b)
+SELECT conv_id, n_pages, length(text)::INT AS n_chars, sha256(text) AS sha256 FROM t""")
 def merged_volumes(spark: SparkSession, d: str) -> DataFrame:
     """Each conversation's texts merged as pages, with the digest line."""
     c = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("page"), F.coalesce("text", F.lit("")).alias("body"))

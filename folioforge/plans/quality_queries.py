@@ -45,20 +45,33 @@ def containment_audit(spark: SparkSession, d: str) -> DataFrame:
     return quality.containment_audit(o, F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 7 != 0, "o_orderpriority")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 6 = 0 THEN 'half' WHEN p_size % 6 = 1 THEN 'negative_longitude' WHEN p_size % 6 = 2 THEN 'outside_box' END AS flag FROM part""")
+LAT, LON = "CASE WHEN p_partkey % 11 <> 0 THEN p_retailprice / 20 - p_size END", "CASE WHEN p_partkey % 13 <> 0 THEN p_size * 4.0 - 20 END"
+
+
+@query(f"""SELECT p_partkey, CASE WHEN (lat IS NULL) <> (lon IS NULL) THEN 'half' WHEN lon < 0 THEN 'negative_longitude' WHEN NOT (lat BETWEEN 18 AND 54 AND lon BETWEEN 73 AND 135) THEN 'outside_box' END AS flag
+FROM (SELECT p_partkey, ({LAT})::DOUBLE AS lat, ({LON})::DOUBLE AS lon FROM part)""")
 def coordinate_flags(spark: SparkSession, d: str) -> DataFrame:
-    r = F.col("p_size") % 6
-    lat, lon = F.when(r == 0, None).when(r == 2, 80.0).otherwise(30.0), F.when(r == 1, -10.0).otherwise(100.0)
-    return table(spark, d, "part").select("p_partkey", quality.coordinate_flag(lat, lon, F.lit(18.0), F.lit(54.0), F.lit(73.0), F.lit(135.0)).alias("flag"))
+    flag = quality.coordinate_flag(F.expr(LAT).cast("double"), F.expr(LON).cast("double"), F.lit(18.0), F.lit(54.0), F.lit(73.0), F.lit(135.0))
+    return table(spark, d, "part").select("p_partkey", flag.alias("flag"))
+
 
+OURS_TOKEN = "CASE c_custkey % 7 WHEN 0 THEN 'Isere' WHEN 1 THEN 'villnge' WHEN 2 THEN 'LOUD' WHEN 3 THEN 'page12' WHEN 4 THEN 'Malaber' WHEN 5 THEN '--' ELSE lower(c_mktsegment) END"
+OTHER_TOKEN = "CASE c_custkey % 5 WHEN 0 THEN 'Isère' WHEN 1 THEN 'village' WHEN 2 THEN 'Malabar' WHEN 3 THEN 'loud' ELSE c_mktsegment END"
+BITS = [f"(c_custkey // {3**k}) % 2 = 1" for k in range(5)]
+WL_SQL, LO_SQL = "regexp_replace(lower({}), '[^\\p{{L}}\\p{{N}}]', '', 'g')", "regexp_replace(upper({}), '[^A-Z]', '', 'g')"
 
-@query("""SELECT c_custkey, CASE c_custkey % 8 WHEN 0 THEN 'take' WHEN 1 THEN 'take' WHEN 2 THEN 'keep' WHEN 3 THEN 'take' WHEN 4 THEN 'keep' WHEN 5 THEN 'flag' ELSE 'skip' END AS decision FROM customer""")
+
+@query(f"""WITH t AS (SELECT c_custkey, {OURS_TOKEN} AS a, {OTHER_TOKEN} AS b, (c_custkey % 11) / 10.0 AS r, {", ".join(f"{x} AS x{k}" for k, x in enumerate(BITS))} FROM customer),
+s AS (SELECT *, {WL_SQL.format("a")} = '' OR {WL_SQL.format("b")} = '' OR {WL_SQL.format("a")} = {WL_SQL.format("b")} OR (a = upper(a) AND length({LO_SQL.format("a")}) > 2) OR (b = upper(b) AND length({LO_SQL.format("b")}) > 2)
+  OR regexp_matches(a, '[0-9½¼¾]') OR regexp_matches(b, '[0-9½¼¾]') OR r < 0.7 OR abs(length(a) - length(b)) > 3 AS skip, regexp_matches(a, '^\\p{{Lu}}') AS capital FROM t)
+SELECT c_custkey, CASE WHEN skip THEN 'skip'
+  WHEN capital AND x4 AND x0 THEN CASE WHEN regexp_matches(b, '[^\\x00-\\x7F]') AND NOT regexp_matches(a, '[^\\x00-\\x7F]') THEN 'take' ELSE 'keep' END
+  WHEN capital AND x1 AND NOT x0 THEN 'take' WHEN capital AND x0 AND NOT x1 THEN 'keep' WHEN x3 AND NOT x2 THEN 'take' WHEN x2 AND NOT x3 THEN 'keep' ELSE 'flag' END AS decision FROM s""")
 def swap_rules(spark: SparkSession, d: str) -> DataFrame:
-    """One example of each rule, by the key's remainder."""
-    rules = (("Isere", "Isère", 0.8, True, True, False, False, True), ("Malaber", "Malabar", 0.86, False, True, False, False, False), ("Malabar", "Malaber", 0.86, True, False, False, False, False), ("villnge", "village", 0.86, False, False, False, True, False),
-             ("village", "villnge", 0.86, False, False, True, False, False), ("xqz", "xqy", 0.75, False, False, False, False, False), ("page12", "page", 0.9, False, False, False, True, False), ("low", "high", 0.3, False, False, True, True, False))
-    col = lambda k: F.element_at(F.array(*(F.lit(r[k]) for r in rules)), (F.col("c_custkey") % 8 + 1).cast("int"))
-    return table(spark, d, "customer").select("c_custkey", quality.swap_decision(*(col(k) for k in (0, 1, 2, 3, 4, 5, 6, 7))).alias("decision"))
+    """Tokens of two readings under all combinations of what is known of them."""
+    known = [F.expr(x.replace("//", "div")) for x in BITS]
+    decision = quality.swap_decision(F.expr(OURS_TOKEN), F.expr(OTHER_TOKEN), F.expr("(c_custkey % 11) / 10.0"), *known)
+    return table(spark, d, "customer").select("c_custkey", decision.alias("decision"))
 
 
 @query("SELECT doc_id, 'len=' || length(coalesce(text, '')) || ';' || (CASE WHEN l.doc_id IS NULL THEN 'fresh' ELSE 'cached' END) AS response FROM documents LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)")
@@ -70,43 +83,38 @@ def cached_enrichment(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "response")
 
 
-@query("""SELECT o_orderkey AS entry_id, generate_series::INT AS place_no, 'P' || o_custkey || '-' || generate_series AS name, CASE WHEN generate_series = 1 THEN '300008372' END AS type_id, CASE WHEN o_custkey % 2 = 0 THEN 10.5::DOUBLE END AS lat
-FROM orders, generate_series(1, 2) WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0""")
+def _place(n: int, kind: str) -> str:
+    return f"""concat('{{"name":"P', o_custkey, '-{n}","aat_type_id":"', {kind}, '","latitude":', o_custkey % 90, '.5', CASE WHEN o_custkey % 2 = 0 THEN ',"longitude":20.0' ELSE '' END, '}}')"""
+
+
+_FIRST, _SECOND = _place(1, "CASE WHEN o_orderkey % 7 = 0 THEN '999' ELSE '300008372' END"), _place(2, "'other'")
+RESPONSE = f"""concat('{{"places":[', {_FIRST}, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat(',', {_SECOND}) END, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE ']}}' END)"""
+
+
+@query(f"""WITH r AS (SELECT o_orderkey AS entry_id, {RESPONSE} AS t FROM orders), g AS (SELECT entry_id, t FROM r WHERE json_valid(t)),
+p AS (SELECT entry_id, generate_series::INT AS place_no, json_extract(t, '$.places[' || (generate_series - 1) || ']') AS p, json_extract_string(t, '$.places[*].aat_type_id') AS kinds FROM g, generate_series(1, json_array_length(t, '$.places')::BIGINT))
+SELECT entry_id, place_no, p->>'$.name' AS name, nullif(p->>'$.aat_type_id', 'other') AS type_id, CASE WHEN (p->>'$.longitude') IS NOT NULL THEN (p->>'$.latitude')::DOUBLE END AS lat FROM p WHERE list_has_all(['300008372', 'other'], kinds)""")
 def extracted_places(spark: SparkSession, d: str) -> DataFrame:
-    """Responses of two places each: cut short for keys divisible by five, of an unknown type for those divisible by seven."""
-    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey")
-    place = lambda n, kind: F.concat(F.lit('{"name":"P'), c.cast("string"), F.lit(f'-{n}","aat_type_id":"'), kind, F.lit('","latitude":10.5'), F.when(c % 2 == 0, F.lit(',"longitude":20.0')).otherwise(F.lit("")), F.lit("}"))
-    known = F.when(k.cast("bigint") % 7 == 0, F.lit("999")).otherwise(F.lit("300008372"))
-    text = F.concat(F.lit('{"places":['), place(1, known), F.lit(","), place(2, F.lit("other")), F.when(k.cast("bigint") % 5 == 0, F.lit("")).otherwise(F.lit("]}")))
-    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("entry_id"), text.alias("response"))
-    out = enrich.places_of(rows, ["300008372"])
+    """Responses of one or two places: some are cut short, some name a type that is not on the list, some a latitude alone."""
+    out = enrich.places_of(table(spark, d, "orders").select(F.col("o_orderkey").alias("entry_id"), F.expr(RESPONSE).alias("response")), ["300008372"])
     return out.select("entry_id", "place_no", F.col("place.name").alias("name"), F.col("place.aat_type_id").alias("type_id"), F.col("place.latitude").alias("lat"))
 
 
-@query("""SELECT s_suppkey AS id, 'Town' AS name, 'Prov' AS province, round(30 + (s_suppkey % 60) / 60, 4) AS lat, round(110 + (s_suppkey % 50) / 60, 4) AS lon FROM supplier WHERE s_suppkey % 10 <> 9""")
-def index_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Index lines with degrees and minutes; of keys ending in nine the minutes are too many."""
-    k = F.col("s_suppkey")
-    minutes = F.lpad((k % 60).cast("string"), 2, "0")
-    text = F.concat(F.lit("Town, Prov 30."), F.when(k % 10 == 9, "75").otherwise(minutes), F.lit(" N 110."), F.lpad((k % 50).cast("string"), 2, "0"), F.lit(" E"))
-    out = index_pages.stateless_rows(table(spark, d, "supplier").select(k.alias("id"), text.alias("text")))
-    return out.select("id", "name", "province", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
+INDEX_LINE = "concat('Town', s_suppkey % 7, ', Prov ', 30 + s_suppkey % 5, '.', lpad(concat(s_suppkey % 75, ''), 2, '0'), ' N 110.', lpad(concat(s_suppkey % 50, ''), 2, '0'), ' E')"
 
 
-@query("""WITH b AS (SELECT p_brand AS province, floor(min(p_size)) AS south, ceil(max(p_size)) AS north FROM part WHERE p_partkey % 10 = 0 GROUP BY 1)
-SELECT p_partkey, CASE WHEN south IS NULL THEN 'no_province_box' WHEN p_size NOT BETWEEN south - 1 AND north + 1 THEN 'outside_province_box' ELSE '' END AS flags, south IS NULL OR p_size BETWEEN south - 1 AND north + 1 AS clean FROM part LEFT JOIN b ON province = p_brand""")
-def province_check(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part")
-    size = F.col("p_size").cast("double")
-    boxes = quality.province_boxes(p.where("p_partkey % 10 = 0").select(F.col("p_brand").alias("province"), size.alias("lat_lo"), size.alias("lat_hi"), F.lit(1.0).alias("lon_lo"), F.lit(2.0).alias("lon_hi")))
-    rows = p.select("p_partkey", F.col("p_brand").alias("province"), F.lit("Name").alias("name"), size.alias("lat"), F.lit(1.5).alias("lon"))
-    return quality.box_flags(rows, boxes).select("p_partkey", F.array_join("flags", ",").alias("flags"), "clean")
+@query(f"""WITH t AS (SELECT s_suppkey AS id, {INDEX_LINE} AS t FROM supplier), p AS (SELECT id, regexp_extract(t, '^(.*), ([^,]*?) (\\d+)\\.(\\d+) N (\\d+)\\.(\\d+) E$', ['name', 'province', 'a', 'am', 'b', 'bm']) AS m FROM t)
+SELECT id, m.name AS name, m.province AS province, round(m.a::INT + m.am::INT / 60, 4) AS lat, round(m.b::INT + m.bm::INT / 60, 4) AS lon FROM p WHERE m.am::INT < 60 AND m.bm::INT < 60""")
+def index_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Index lines with degrees and minutes; minutes of sixty and more make no coordinate."""
+    out = index_pages.stateless_rows(table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.expr(INDEX_LINE).alias("text")))
+    return out.select("id", "name", "province", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
 
 
 @query("""WITH b AS (SELECT p_brand AS province, floor(min(p_size)) AS south, ceil(max(p_size)) AS north FROM part GROUP BY 1)
 SELECT p_partkey, CASE WHEN south IS NULL THEN 'no_province_box' WHEN p_size NOT BETWEEN south - 1 AND north + 1 THEN 'outside_province_box' ELSE '' END AS flags, south IS NULL OR p_size BETWEEN south - 1 AND north + 1 AS clean FROM part LEFT JOIN b ON province = p_brand""")
 def province_check_all(spark: SparkSession, d: str) -> DataFrame:
-    """province_check with boxes from all parts, not every tenth."""
+    """Parts against the boxes of their brands."""
     p = table(spark, d, "part")
     size = F.col("p_size").cast("double")
     boxes = quality.province_boxes(p.select(F.col("p_brand").alias("province"), size.alias("lat_lo"), size.alias("lat_hi"), F.lit(1.0).alias("lon_lo"), F.lit(2.0).alias("lon_hi")))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats as S
-from ..functions.text import tokens
 from ..operators import search
 from ..session import table
 from ..sources import sinks
@@ -42,8 +41,8 @@ def medians(spark: SparkSession, d: str) -> DataFrame:
 p AS (SELECT *, 0.25 * (n + 1) AS q FROM r), j AS (SELECT *, least(greatest(floor(q), 1), n - 1) AS j FROM p WHERE n >= 2)
 SELECT s_nationkey, round(max(x) FILTER (i = j) + (max(x) FILTER (i = j + 1) - max(x) FILTER (i = j)) * (max(q) - max(j)), 4) AS q1 FROM j GROUP BY s_nationkey""")
 def exclusive_quartile(spark: SparkSession, d: str) -> DataFrame:
-    out = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.round(S.exclusive_quantile("s_acctbal", 0.25), 4).alias("q1"))
-    return out.where("q1 IS NOT NULL")
+    out = S.exclusive_quantiles(table(spark, d, "supplier"), ["s_nationkey"], "s_acctbal", 0.25)
+    return out.select("s_nationkey", F.round("value", 4).alias("q1"))
 
 
 @query("""SELECT CASE WHEN o_totalprice < 1000 THEN '0-1000' WHEN o_totalprice < 50000 THEN '1000-50000' WHEN o_totalprice < 200000 THEN '50000-200000' ELSE '200000+' END AS band, count(*) AS n FROM orders GROUP BY 1""")
@@ -72,18 +71,10 @@ def wilson(spark: SparkSession, d: str) -> DataFrame:
     return n.select("source", "n", "k", F.round(w["lo"], 4).alias("lo"), F.round(w["hi"], 4).alias("hi"), F.round(S.standard_error(F.col("k"), F.col("n")), 4).alias("se"))
 
 
-@query("""WITH u AS (SELECT user_id, bool_or(event_type = 'purchase') AS a, bool_or(event_type = 'signup') AS b FROM events WHERE extract(day FROM ts) <= 5 GROUP BY user_id)
-SELECT count(*) FILTER (a AND b) AS both, count(*) FILTER (b AND NOT a) AS gained, count(*) FILTER (a AND NOT b) AS lost, count(*) FILTER (NOT a AND NOT b) AS neither FROM u""")
-def paired_2x2(spark: SparkSession, d: str) -> DataFrame:
-    u = table(spark, d, "events").where(F.dayofmonth("ts") <= 5).groupBy("user_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("a"), F.bool_or(F.col("event_type") == "signup").alias("b"))
-    a, b = F.col("a"), F.col("b")
-    return u.agg(F.count_if(a & b).alias("both"), F.count_if(b & ~a).alias("gained"), F.count_if(a & ~b).alias("lost"), F.count_if(~a & ~b).alias("neither"))
-
-
 @query("""WITH u AS (SELECT user_id, bool_or(event_type = 'purchase') AS a, bool_or(event_type = 'signup') AS b FROM events GROUP BY user_id)
 SELECT count(*) FILTER (a AND b) AS both, count(*) FILTER (b AND NOT a) AS gained, count(*) FILTER (a AND NOT b) AS lost, count(*) FILTER (NOT a AND NOT b) AS neither FROM u""")
 def paired_2x2_all(spark: SparkSession, d: str) -> DataFrame:
-    """paired_2x2 over all events, not only those of the first five days of a month."""
+    """How many users did both, the one or the other, or neither, over all events."""
     u = table(spark, d, "events").groupBy("user_id").agg(F.bool_or(F.col("event_type") == "purchase").alias("a"), F.bool_or(F.col("event_type") == "signup").alias("b"))
     a, b = F.col("a"), F.col("b")
     return u.agg(F.count_if(a & b).alias("both"), F.count_if(b & ~a).alias("gained"), F.count_if(a & ~b).alias("lost"), F.count_if(~a & ~b).alias("neither"))
@@ -200,12 +191,7 @@ TOKENS_SQL = "list_filter(string_split_regex(lower(strip_accents(text)), '[^\\p{
 tf AS (SELECT doc_id, length, token, count(*) AS tf FROM p WHERE token IN ('the', 'und', 'que') GROUP BY ALL), df AS (SELECT token, count(*) AS df FROM tf GROUP BY token)
 SELECT doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 4) AS score FROM tf JOIN df USING (token), s GROUP BY doc_id""")
 def fts_bm25(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    index = search.postings(docs, "doc_id", "text")
-    from ..functions.text import unaccent
-
-    size = docs.agg(F.count("*").alias("n"), F.avg(F.size(tokens(unaccent(F.col("text"))))).alias("m")).first()
-    return search.bm25(index, "doc_id", size["n"], size["m"] or 1.0, list(QUERY_WORDS)).select("doc_id", F.round("score", 4).alias("score"))
+    return search.bm25_scan(table(spark, d, "documents"), "doc_id", "text", list(QUERY_WORDS)).select("doc_id", F.round("score", 4).alias("score"))
 
 
 @query("""WITH g AS (SELECT p_partkey, p_name, p_brand, list_distinct(list_transform(range(1, greatest(length(f) - 2, 1) + 1), lambda i: substr(f, i, 3))) AS t FROM (SELECT *, ' ' || regexp_replace(lower(strip_accents(p_name)), '[^a-z0-9 ]', '', 'g') || ' ' AS f FROM part)),
@@ -225,37 +211,23 @@ def quantise_int8(spark: SparkSession, d: str) -> DataFrame:
     return v.select("vec_id", F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("total"), F.array_min("v").alias("lo"), F.array_max("v").alias("hi"))
 
 
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::DOUBLE * 127, 0)))::DOUBLE) AS v FROM embeddings), q AS (SELECT * FROM e WHERE vec_id < 3)
-SELECT q.vec_id AS query_id, e.vec_id, (row_number() OVER w)::INT AS rank FROM q JOIN e ON e.vec_id <> q.vec_id WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, e.v) DESC, e.vec_id) QUALIFY row_number() OVER w <= 5""")
-def knn_dot(spark: SparkSession, d: str) -> DataFrame:
-    """Three probe vectors against all: the probes become literals, so that the table is only scanned."""
-    e = table(spark, d, "embeddings").select("vec_id", search.quantise(F.col("embedding")).alias("v"))
-    parts = []
-    for r in e.where("vec_id < 3").orderBy("vec_id").collect():  # three rows
-        score = search.dot(F.array(*map(F.lit, r["v"])), F.col("v"))
-        parts.append(F.struct(F.lit(r["vec_id"]).cast("bigint").alias("query_id"), score.alias("score")))
-    hits = e.select("vec_id", F.explode(F.array(*parts)).alias("h")).select("h.query_id", "vec_id", "h.score").where("vec_id <> query_id")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("query_id", "vec_id", "rank")
-
-
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::DOUBLE * 127, 0)))::DOUBLE) AS v FROM embeddings), q AS (SELECT * FROM e WHERE vec_id % 100 = 0)
-SELECT q.vec_id AS query_id, e.vec_id, (row_number() OVER w)::INT AS rank FROM q JOIN e ON e.vec_id <> q.vec_id WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, e.v) DESC, e.vec_id) QUALIFY row_number() OVER w <= 5""")
+@query("""WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS q, list_transform(embedding, lambda x: greatest(-127, least(127, round_even(x::DOUBLE * 127, 0)))::DOUBLE) AS v FROM embeddings)
+SELECT q.vec_id AS query_id, e.vec_id, (row_number() OVER w)::INT AS rank FROM e AS q JOIN e ON e.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_inner_product(q.q, e.v) DESC, e.vec_id) QUALIFY row_number() OVER w <= 5""")
 def knn_dot_all(spark: SparkSession, d: str) -> DataFrame:
-    """knn_dot of every vector whose id is divisible by 100: the queries' number grows with the table, so they are joined, not made literals."""
-    e = table(spark, d, "embeddings").select("vec_id", search.quantise(F.col("embedding")).alias("v"))
-    q = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    hits = e.join(q, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", search.dot(F.col("q"), F.col("v")).alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("query_id", "vec_id", "rank")
+    """The five nearest, by the product of the query's own components with the stored bytes, of every vector whose id is divisible by 100."""
+    e = table(spark, d, "embeddings")
+    stored = e.select("vec_id", search.quantise(F.col("embedding")).cast("array<double>").alias("v"))
+    asked = e.where("vec_id % 100 = 0").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return search.nearest_by_dot(asked, stored, "vec_id", "v", 5).select("query_id", "vec_id", "rank")
 
 
-@query()
+@query("""WITH i AS (SELECT s_suppkey, concat('"', s_suppkey, '":{"s_name":"', s_name, '","s_nationkey":', s_nationkey, '}') AS item FROM supplier)
+SELECT (s_suppkey % 16)::INT AS shard, count(*)::INT AS n, '{' || string_agg(item, ',' ORDER BY s_suppkey::VARCHAR) || '}' AS json FROM i GROUP BY 1""")
 def export_shards(spark: SparkSession, d: str) -> DataFrame:
     return sinks.shards(table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), "s_suppkey", 16)
 
 
-@query()
+@query("""SELECT concat('{"type":"Feature","geometry":{"type":"Point","coordinates":[', ((s_suppkey * 53) % 361 - 180)::DOUBLE, ',', ((s_suppkey * 37) % 181 - 90)::DOUBLE, ']},"properties":{"id":', s_suppkey, ',"name":"', s_name, '"}}') AS feature FROM supplier""")
 def geojson_lines(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("s_suppkey")
     lon, lat = (F.pmod(k * 53, F.lit(361)) - 180).cast("double"), (F.pmod(k * 37, F.lit(181)) - 90).cast("double")

@@ -39,7 +39,12 @@ def clean_text_basic(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.sha2(T.scrub(noisy).cast("binary"), 256).alias("clean_sha256"))
 
 
-@query()
+@query(LINES_SQL + """, h AS (SELECT doc_id, line_no, regexp_replace(line, '(\\p{Ll})[.,]$', '\\1-') AS line FROM lines),
+b AS (SELECT *, lag(line) OVER (PARTITION BY doc_id ORDER BY line_no) AS before FROM h),
+m AS (SELECT *, sum(CASE WHEN coalesce(regexp_matches(before, '[A-Za-zÀ-ÿ]-\\.?$') AND (regexp_matches(line, '^\\p{Ll}') OR regexp_matches(before, '[A-ZÀ-Þ][A-ZÀ-Þ0-9''’.\\-]*-\\.?$')), false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS run FROM b),
+e AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY line_no) AS i, count(*) OVER (PARTITION BY doc_id, run) AS n FROM m),
+p AS (SELECT doc_id, run, line_no, CASE WHEN i > 1 THEN ltrim(line) ELSE line END AS s, i = n AS ends FROM e)
+SELECT doc_id, min(line_no)::INT AS line_no, sum(length(CASE WHEN ends THEN s ELSE regexp_replace(s, '-\\.?$', '') END))::INT AS n_chars FROM p GROUP BY doc_id, run""")
 def dehyphenate(spark: SparkSession, d: str) -> DataFrame:
     rows = docstream.lines(table(spark, d, "documents"), "doc_id").withColumn("line", F.regexp_replace("line", r"(\p{Ll})[.,]$", "$1-"))
     return docstream.heal_hyphens(rows, ["doc_id"]).select("doc_id", F.col("line_no").cast("int").alias("line_no"), F.length("line").alias("n_chars"))
@@ -67,26 +72,29 @@ def accent_fold(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.sha2(T.fold(F.col("text")).cast("binary"), 256).alias("folded_sha256"))
 
 
-@query("SELECT s_suppkey, 'NAME ' || s_suppkey AS head, CASE WHEN s_suppkey % 3 = 0 THEN 'TARGET ' || chr((65 + s_suppkey % 26)::INT) END AS see_target FROM supplier")
+SEE_LINE = "concat(p_name, '. ', CASE p_size % 4 WHEN 0 THEN 'See ' WHEN 1 THEN 'See also ' WHEN 2 THEN 'see ' ELSE 'Seen ' END, upper(p_type), CASE p_size % 3 WHEN 0 THEN '.' WHEN 1 THEN '; and more' ELSE '' END)"
+
+
+@query(f"""SELECT p_partkey, nullif(trim(regexp_extract({SEE_LINE}, '\\bSee\\s+(?:also\\s+)?([A-ZÀ-Þ][A-Za-zÀ-ÿ .''()\\-,&]*?)\\.?\\s*$', 1)), '') AS see_target FROM part""")
 def see_extract(spark: SparkSession, d: str) -> DataFrame:
-    letter = F.chr(65 + F.col("s_suppkey") % 26)
-    line = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("a place. See also TARGET "), letter, F.lit("."))).otherwise(F.lit("a village of 20 houses. see nothing"))
-    head = F.concat(F.lit("NAME "), F.col("s_suppkey").cast("string"))
-    return table(spark, d, "supplier").select("s_suppkey", head.alias("head"), T.see_target(line).alias("see_target"))
+    return table(spark, d, "part").select("p_partkey", T.see_target(F.expr(SEE_LINE)).alias("see_target"))
+
 
+MARK_LINE = "concat(CASE s_suppkey % 5 WHEN 0 THEN 'p. ' ELSE '## p. ' END, CASE s_suppkey % 4 WHEN 0 THEN '?' WHEN 1 THEN 'xiv' ELSE concat(s_suppkey, '') END, ' (#', s_suppkey + 8, ') ####')"
 
-@query("SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_suppkey::INT END AS printed, (s_suppkey + 8)::INT AS idx FROM supplier")
+
+@query(f"SELECT s_suppkey, try_cast(regexp_extract({MARK_LINE}, '^## p\\. (\\S+) \\(#(\\d+)\\)', 1) AS INT) AS printed, try_cast(regexp_extract({MARK_LINE}, '^## p\\. (\\S+) \\(#(\\d+)\\)', 2) AS INT) AS idx FROM supplier")
 def page_marker(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("s_suppkey")
-    line = F.concat(F.lit("## p. "), F.when(k % 4 == 0, F.lit("?")).otherwise(k.cast("string")), F.lit(" (#"), (k + 8).cast("string"), F.lit(") ####"))
-    return table(spark, d, "supplier").select("s_suppkey", T.page_mark(line).alias("m")).select("s_suppkey", "m.printed", "m.idx")
+    return table(spark, d, "supplier").select("s_suppkey", T.page_mark(F.expr(MARK_LINE)).alias("m")).select("s_suppkey", "m.printed", "m.idx")
+
+
+VOLUME_NAME = "concat(CASE s_suppkey % 4 WHEN 0 THEN 'Gazetteer Vol-0' WHEN 1 THEN 'volume_' WHEN 2 THEN 'notes-' ELSE 'v.' END, s_suppkey + 1, '.txt')"
+VOLUME_RE = "'(?:^|[^a-z])v(?:ol(?:ume)?)?[ ._-]*0*(\\d{1,2})(?:\\D|$)'"
 
 
-@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'v' || (n_nationkey + 1) ELSE 'notes-' || n_nationkey END AS tag FROM nation")
+@query(f"SELECT s_suppkey, CASE WHEN regexp_extract(lower(n), {VOLUME_RE}, 1) <> '' THEN 'v' || regexp_extract(lower(n), {VOLUME_RE}, 1) ELSE regexp_replace(n, '\\.[^.]*$', '') END AS tag FROM (SELECT s_suppkey, {VOLUME_NAME} AS n FROM supplier)")
 def volume_tag(spark: SparkSession, d: str) -> DataFrame:
-    k = F.col("n_nationkey")
-    name = F.when(k % 2 == 0, F.concat(F.lit("Gazetteer Vol-0"), (k + 1).cast("string"), F.lit(".txt"))).otherwise(F.concat(F.lit("notes-"), k.cast("string"), F.lit(".txt")))
-    return table(spark, d, "nation").select("n_nationkey", T.volume_tag(name).alias("tag"))
+    return table(spark, d, "supplier").select("s_suppkey", T.volume_tag(F.expr(VOLUME_NAME)).alias("tag"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '://([^/?#]+)', 1) AS host, regexp_extract(url, '://[^/]+(/[^?#]*)', 1) AS path, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<li>'))::INT AS n_items FROM pages")
@@ -146,7 +154,7 @@ n AS (SELECT regexp_replace(lower(strip_accents(form)), '[^a-z]', '', 'g') AS ke
 SELECT key, arg_max(form, (strip_accents(form) <> form, upper(form) <> form, c, form)) AS best, sum(c)::BIGINT AS n, count(*) AS n_forms FROM n WHERE key <> '' GROUP BY key""")
 def canonical_form(spark: SparkSession, d: str) -> DataFrame:
     form = F.explode(F.array_distinct(F.filter(F.split("text", r"[^\p{L}]+"), lambda x: F.length(x) >= 4))).alias("form")
-    counts = table(spark, d, "documents").select("doc_id", form).distinct().groupBy("form").agg(F.count("*").alias("c")).withColumn("key", T.fold(F.col("form")))
+    counts = table(spark, d, "documents").select(form).groupBy("form").agg(F.count("*").alias("c")).withColumn("key", T.fold(F.col("form")))
     rank = F.struct(T.unaccent(F.col("form")) != F.col("form"), F.upper("form") != F.col("form"), F.col("c"), F.col("form"))
     return counts.where("key <> ''").groupBy("key").agg(F.max_by("form", rank).alias("best"), F.sum("c").alias("n"), F.count("*").alias("n_forms"))
 

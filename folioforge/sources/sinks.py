@@ -18,9 +18,20 @@ def replaced(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
     return stored.join(gone, same, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
-def added(stored: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
-    """stored, and those of fresh whose keys it lacks."""
-    return stored.unionByName(fresh.join(stored, keys, "left_anti"), allowMissingColumns=True)
+def added(stored: DataFrame, fresh: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """INSERT OR IGNORE: stored, and of each key it lacks one of fresh's rows: the first by ``order`` (by the other columns, if none is given).
+
+    A key with a null is never equal to another, as in a unique index: such rows are all added.
+    """
+    rest = [c for c in fresh.columns if c not in keys]
+    first = F.struct(*(order or [F.col(c) for c in rest] or [F.lit(0)]))
+    whole = F.struct(*rest) if rest else F.struct(F.lit(0).alias("__none"))
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    one = fresh.where(named).groupBy(*keys).agg(F.min_by(whole, first).alias("__v")).select(*keys, *(F.col(f"__v.{c}").alias(c) for c in rest))
+    news = one.join(stored.select(*keys), keys, "left_anti").unionByName(fresh.where(~named))
+    return stored.unionByName(news, allowMissingColumns=True)
 
 
 def point_feature(lon: Column, lat: Column, **properties: Column) -> Column:

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 from difflib import SequenceMatcher
 
@@ -69,6 +70,70 @@ def test_fold_entries(spark):
     assert rows[2]["see_target"] == "LIEGE" and rows[3]["see_target"] == "ALPHA"
 
 
+CAPITALS = "A-ZÀ-Þ"
+
+
+def fold_by_hand(lines, appendix_after):
+    """The fold of clean lines as the survey's card tells it, one line after another: [headword, lines of the entry]."""
+    key = lambda x: re.sub("[^A-Z]", "", x.upper())
+    noise = lambda x: not x.strip() or re.fullmatch(r"\d{1,4}", x.strip()) or "Digitized by" in x
+    alone = lambda x: re.fullmatch(rf"[{CAPITALS}][{CAPITALS} ]*[,.]?", x.strip())
+    entries, rest = [], []
+    for i, line in enumerate(lines):
+        if line.strip() == "APPENDIX" and len(entries) > appendix_after:
+            rest = lines[i:]
+            break
+        m = re.match(rf"([{CAPITALS}][{CAPITALS} ]{{2,}}), ([a-z].*)", line)
+        if m and m[1] not in ("TOTAL", "XVII"):
+            entries.append([m[1], m[2]])
+            continue
+        if alone(line):
+            name = line.strip(" ,.")
+            ahead = next((x for x in lines[i + 1 :] if not noise(x)), "")
+            said = [x for x in (entries[-1][1:] if entries else []) if not noise(x)]
+            ended = not said or said[-1].rstrip()[-1] in ".!?"
+            if len(key(name)) >= 4 and len(name.split()) <= 5 and name not in ("TOTAL", "XVII") and key(name) > key(entries[-1][0] if entries else "") and ahead and not alone(ahead) and ended:
+                entries.append([name])
+                continue
+            if entries and key(name) == key(entries[-1][0]):
+                continue
+        if entries:
+            entries[-1].append(line)
+    return entries, rest
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fold_equals_the_card(spark, seed):
+    rnd = random.Random(seed)
+    names = ["ALFA", "BRAVO", "CHARLIE BAY", "DELTA", "ECHO", "TOTAL", "XVII", "ABC", "ALPHA BETA GAMMA DELTA EPSILON ZETA"]
+    made = [lambda: rnd.choice(names), lambda: rnd.choice(names) + ", " + rnd.choice(["a town.", "a river", "see below"]), lambda: rnd.choice(["It lies low.", "and beyond", "Pop. 600.", "of the hills", "12", "Digitized by Google", "", "APPENDIX"])]
+    volumes = [[rnd.choice(made)() for _ in range(rnd.randrange(40))] for _ in range(25)]
+    for lines in volumes:
+        lines.insert(0, "preface, in lower case.")  # no running head stands before it
+    rows = [(v, k + 1, None, x) for v, lines in enumerate(volumes) for k, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "v int, at long, page int, line string")
+    got = docstream.folded(docstream.judged_lines(df, "v"), "v", appendix_after=3)
+    entries = {(r["v"], r["seq"]): r["headword"] for r in docstream.entries_of(got, "v").collect()}
+    texts = {(r["v"], r["seq"]): r["text"] for r in docstream.entries_of(got, "v").collect()}
+    back = {r["v"]: r["n"] for r in got.where("part = 9").groupBy("v").agg(F.count("*").alias("n")).collect()}
+    for v, lines in enumerate(volumes):
+        want, rest = fold_by_hand(lines, 3)
+        assert [entries[v, k] for k in range(len(want))] == [e[0] for e in want] and (v, len(want)) not in entries, (v, lines)
+        assert back.get(v, 0) == len(rest)
+        for k, e in enumerate(want):
+            kept = " ".join(x.strip() for x in e[1:] if x.strip())
+            assert texts[v, k].replace(" ", "").endswith(re.sub("Digitized by Google", "", kept).replace(" ", ""))
+
+
+def test_pages_are_healed_before_the_fold_and_back_matter_is_kept(spark):
+    volume = "## p. 3 (#5) ####\nALFA BRAVO\n3\nABBEVILLE, a town\nUNI-\nVERSITY OF MINNESOTA\nof France.\nBAN-\nGOR, a city.\fof wales.\nAPPENDIX\n1. Lists\nDELTA, a mouth."
+    df = spark.createDataFrame([("v", volume)], "v string, text string")
+    rows = docstream.fold_entries(df, "v", appendix_after=1).orderBy("seq").collect()
+    assert [(r["headword"], r["page_start"]) for r in rows] == [("ABBEVILLE", 3), ("BANGOR", 3)]
+    kept = docstream.back_matter(df, "v", appendix_after=1).collect()
+    assert [(r["text"], r["n_lines"]) for r in kept] == [("APPENDIX\n1. Lists\nDELTA, a mouth.", 3)]
+
+
 def test_pages_and_cleaning(spark):
     page = "## p. 7 (#9) ####\n7\nALPHA BETA\nDigitized by Google\nfirst penin-\nsula line\nCACHOE-\nIRA. See X.\nprose-\nNext, word"
     rows = docstream.pages(spark.createDataFrame([("v", page)], "v string, text string"), "v")
@@ -96,6 +161,39 @@ def test_asof_equals_brute_force(spark, left, right):
     assert split == got
 
 
+def test_split_as_of_carries_whole_rows_and_null_keys(spark):
+    right = spark.createDataFrame([(1, 1, 7, 8), (1, 2, 9, None), (None, 1, 5, None)], "k int, t int, a int, b int")
+    left = spark.createDataFrame([(1, 1, 3), (2, 1, 50), (3, None, 4), (4, 2, 9)], "id int, k int, t int")
+    for bucket in (1, 3, 100):
+        got = {r["id"]: (r["prev_a"], r["prev_b"]) for r in joins.asof_backward_split(left, right, ["k"], "t", ["a", "b"], F.floor(F.col("t") / bucket)).collect()}
+        assert got == {r["id"]: (r["prev_a"], r["prev_b"]) for r in joins.asof_backward(left, right, ["k"], "t", ["a", "b"]).collect()} == {1: (9, None), 2: (9, None), 3: (5, None), 4: (None, None)}
+
+
+def test_insert_or_ignore_adds_one_row_a_key(spark):
+    stored = spark.createDataFrame([(1, "old")], "k int, v string")
+    fresh = spark.createDataFrame([(1, "new"), (2, "b"), (2, "a"), (None, "n"), (None, "n")], "k int, v string")
+    assert sorted(map(tuple, sinks.added(stored, fresh, ["k"]).collect()), key=str) == [(1, "old"), (2, "a"), (None, "n"), (None, "n")]
+    assert (2, "b") in map(tuple, sinks.added(stored, fresh, ["k"], [F.desc("v")] if False else [F.length("v"), F.when(F.col("v") == "b", 0).otherwise(1)]).collect())
+
+
+def test_next_value_over_parts(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.randrange(300),) for _ in range(500)] + [(None,)]
+    got = sorted((r["x"], r["n"] if r["n"] is not None else 10**6) for r in joins.with_next(spark.createDataFrame(rows, "x int"), "x", "n", parts=7).collect() if r["x"] is not None)
+    xs = sorted(x for (x,) in rows if x is not None)
+    assert got == sorted(zip(xs, [*xs[1:], 10**6], strict=True))
+
+
+def test_batches_that_come_again_replace_themselves(spark, tmp_path):
+    from folioforge.streaming import windows
+
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "in"))
+    for again in range(2):  # the second run has lost its checkpoint, and gives batch 0 again
+        stream = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+        windows.enrich_stream(stream, lambda df: df.withColumn("x", F.col("id") * 2), str(tmp_path / "out"), str(tmp_path / f"cp{again}")).awaitTermination(60)
+    assert sorted(r["x"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 2, 4, 6, 8]
+
+
 def test_distance_join_equals_brute_force(spark):
     rnd = random.Random(3)
     point = lambda: (rnd.choice([rnd.uniform(-90, 90), 89.9, -89.9]), rnd.choice([rnd.uniform(-180, 180), 179.9, -179.9]))

@@ -37,11 +37,16 @@ def by_coordinate(hits: DataFrame, key: list[str], threshold: float = COORD_SCOR
     return good.groupBy(*key).agg(F.min_by(rest, F.struct("km", "rank")).alias("hit")).select(*key, "hit.*")
 
 
-def cascade(asks: DataFrame, key: str, passes: list[tuple[str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
-    """Union of the passes' answers with the pass's name; a pass (asks -> one row a key) sees only keys that no earlier pass answered."""
+def cascade(asks: DataFrame, key: str, passes: list[tuple[str, Callable[[DataFrame], DataFrame]]], keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Union of the passes' answers with the pass's name; a pass (asks -> one row a key) sees only keys that no earlier pass answered.
+
+    keep writes a pass's answers and gives them back as a table: they are then made once, however many passes follow, and a run that is
+    broken off has lost one pass at most. Without it the plan of a pass holds those of all before it.
+    """
     out, left = None, asks
     for name, answer in passes:
         got = answer(left).withColumn("pass", F.lit(name))
+        got = keep(got, f"pass-{name}") if keep else got
         out = got if out is None else out.unionByName(got, allowMissingColumns=True)
         left = left.join(got.select(key), key, "left_anti")
     return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +50,8 @@ def asof_backward_split(left: DataFrame, right: DataFrame, by: list[str], on: st
     return out.select(*left.columns, got.alias("__got")).select(*left.columns, *(F.col(f"__got.{v}").alias(f"prev_{v}") for v in values))
 
 
-def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None) -> DataFrame:
-    """Pairs of points (columns lat, lon on both sides; other names distinct) at most km apart, with their distance ``km``.
+def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None, by: list[str] | None = None) -> DataFrame:
+    """Pairs of points (columns lat, lon on both sides; other names distinct but for ``by``, which must agree) at most km apart, with their distance ``km``.
 
     Left points are sent to all grid cells their circle can touch (wider in longitude towards the poles, and across the date line),
     right points to their own: an equality join on the cell, then the true distance.
@@ -65,7 +66,7 @@ def within_distance(left: DataFrame, right: DataFrame, km: float, size: float |
     a = left.withColumn("__y", F.explode(rows)).withColumn("__x", F.explode(cols))
     b = right.select(*(F.col(c).alias(f"{c}_r" if c in ("lat", "lon") else c) for c in right.columns))
     b = b.withColumn("__y", cell(F.col("lat_r") + 90, size)).withColumn("__x", wrapped(cell(F.col("lon_r") + 180, size)))
-    out = a.join(b, ["__y", "__x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")))
+    out = a.join(b, [*(by or []), "__y", "__x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")))
     return out.where(F.col("km") <= km).drop("__y", "__x", "lat_r", "lon_r")
 
 
@@ -74,6 +75,30 @@ def nearest(pairs: DataFrame, key: list[str], distance: Column, tie: list[str],
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(distance, *tie))).where(F.col("rank") <= k)
 
 
+WHOLE_EARTH_KM = 20100.0
+
+
+def nearest_within_key(left: DataFrame, right: DataFrame, by: list[str], key: str, tie: str, first_km: float = 100.0, grow: float = 4.0, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """left with the columns of its nearest right point of equal ``by`` and its distance ``km``; left points without any are left out.
+
+    A circle that grows: what is found within it is the nearest, and only points that found nothing look further. So no point meets all
+    points of its key, unless they lie within the first circle. Distances that agree to the millimetre are ties, settled by ``tie``.
+    keep writes a round's answers (see cascade.cascade); there are as many rounds as it takes to grow over the earth.
+    """
+    out, open_, km = None, left, first_km
+    rest = [c for c in right.columns if c not in (*by, "lat", "lon")]
+    while True:
+        last = km >= WHOLE_EARTH_KM
+        pairs = within_distance(open_, right, min(km, WHOLE_EARTH_KM), by=by)
+        best = pairs.groupBy(key).agg(F.min_by(F.struct(*rest, "km"), F.struct(F.round("km", 6), F.col(tie))).alias("__b")).select(key, "__b.*")
+        best = best if last else best.where(F.col("km") <= km - 1e-5)  # a tie may lie just outside the circle
+        best = keep(best, "nearest") if keep else best
+        out = best if out is None else out.unionByName(best)
+        if last:
+            return left.join(out, key)
+        open_, km = open_.join(best.select(key), key, "left_anti"), km * grow
+
+
 def dedup_enrich(asks: DataFrame, request: list[str], answer) -> DataFrame:
     """Each distinct request is answered once (answer: DataFrame of requests -> with answers), then given to all who asked."""
     return asks.join(answer(asks.select(*request).distinct()), request, "left")

@@ -7,6 +7,8 @@ has_geom, lat, lon. Retrieval is an equality join on the normalised name or on i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,7 @@ def candidates_for(asked: DataFrame, index: DataFrame, mode: str) -> DataFrame:
     return met.select("place_id", "hit_id", "title", score.alias("score"), F.when(F.lit(mode == "exact"), None).otherwise(F.col("confidence")).alias("confidence"), "has_geom", "hit_lat", "hit_lon", F.col("hit_id").alias("rank"))
 
 
-def name_passes(places: DataFrame, index: DataFrame) -> DataFrame:
+def name_passes(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """place_id, hit_id, title, score, ..., pass: what each pass finds for places that no earlier one answered. Identical requests are asked once."""
     passes = []
     for name, mode, scope in PASSES:
@@ -54,7 +56,7 @@ def name_passes(places: DataFrame, index: DataFrame) -> DataFrame:
             return asked.alias("a").join(back.alias("b"), same).select("a.place_id", *(f"b.{c}" for c in got.columns if c != "place_id"))
 
         passes.append((name, answer))
-    return C.cascade(places, "place_id", passes)
+    return C.cascade(places, "place_id", passes, keep)
 
 
 def coordinate_pass(places: DataFrame, index: DataFrame, km: float = C.COORD_KM) -> DataFrame:
@@ -67,11 +69,11 @@ def coordinate_pass(places: DataFrame, index: DataFrame, km: float = C.COORD_KM)
     return places.select("place_id").join(best, "place_id", "left").withColumn("pass", F.coalesce("pass", F.lit("coord-only")))
 
 
-def reconciled(places: DataFrame, index: DataFrame) -> DataFrame:
+def reconciled(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """place_id, hit_id, pass, km_from_printed, status of every place: printed coordinates by the coordinate pass, the others by name."""
     printed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     by_point = coordinate_pass(places.where(printed), index).select("place_id", "hit_id", "pass", F.col("km").alias("km_from_printed"))
-    by_name = name_passes(places.where(~printed), index).select("place_id", "hit_id", "pass", F.lit(None).cast("double").alias("km_from_printed"))
+    by_name = name_passes(places.where(~printed), index, keep).select("place_id", "hit_id", "pass", F.lit(None).cast("double").alias("km_from_printed"))
     out = places.select("place_id").join(by_point.unionByName(by_name), "place_id", "left")
     status = F.when(F.col("pass") == "coord-only", "coord_only").when(F.col("hit_id").isNotNull(), "reconciled").otherwise("unmatched")
     return out.select("place_id", "hit_id", "pass", "km_from_printed", status.alias("status"))

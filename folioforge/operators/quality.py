@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine_km
 from ..functions.text import letters_only, word_letters
+from .joins import nearest_within_key
 
 #: Distances in km, similarities, tolerances.
 VERIFY_KM, MATCH_KM, ABSENT_KM, TOLERANCE_DEG, VARIANT_RATIO, SWAP_RATIO = 25.0, 25.0, 60.0, 0.02, 0.88, 0.70
@@ -56,17 +58,18 @@ def containment_audit(matched: DataFrame, inside: Column, has_parent: Column, by
     return matched.groupBy(by).agg(F.count_if(has_parent).alias("tested"), F.count_if(has_parent & ~inside).alias("failed"), F.count_if(~F.coalesce(has_parent, F.lit(False))).alias("untestable"))
 
 
-def verified_join(places: DataFrame, known: DataFrame, key: str, name: str, most_km: float = VERIFY_KM) -> DataFrame:
+def verified_join(places: DataFrame, known: DataFrame, key: str, name: str, most_km: float = VERIFY_KM, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """places (key, name, lat, lon) joined by normalised name to known (name, known_id, rank, klat, klon).
 
     Of several candidates the nearest is kept (by rank where the place has no coordinate). status: verified, rejected_by_coordinate, or
     unverifiable_no_coordinate; places whose name is not known are left out.
     """
-    a = places.withColumn("__n", word_letters(F.col(name)))
-    b = known.select(word_letters(F.col(name)).alias("__n"), "known_id", "rank", "klat", "klon")
-    km = haversine_km(F.col("lat"), F.col("lon"), F.col("klat"), F.col("klon"))
-    pairs = a.join(b, "__n").withColumn("km", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), km))
-    best = pairs.groupBy(key).agg(F.min_by(F.struct("known_id", "km"), F.struct(F.coalesce(F.round("km", 6), F.lit(0.0)), F.col("rank"))).alias("b")).select(key, "b.*")
+    located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    a = places.select(key, "lat", "lon", word_letters(F.col(name)).alias("__n"))
+    b = known.select(word_letters(F.col(name)).alias("__n"), "known_id", "rank", F.col("klat").alias("lat"), F.col("klon").alias("lon"))
+    near = nearest_within_key(a.where(located), b, ["__n"], key, "rank", first_km=most_km, keep=keep).select(key, "known_id", "km")
+    first = b.groupBy("__n").agg(F.min_by("known_id", "rank").alias("known_id"))
+    best = near.unionByName(a.where(~located).join(first, "__n").select(key, "known_id", F.lit(None).cast("double").alias("km")))
     return best.withColumn("status", F.when(F.col("km").isNull(), "unverifiable_no_coordinate").when(F.col("km") > most_km, "rejected_by_coordinate").otherwise("verified"))
 
 

@@ -9,7 +9,7 @@ from ..functions.geo import box_around, haversine_km
 from ..functions.text import tokens
 from ..operators import cascade as C
 from ..operators import joins, layout, similar
-from ..session import table
+from ..session import stored, table
 from ..sources import sinks
 from .registry import query
 
@@ -108,10 +108,10 @@ def grid_range_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query(POINTS_SQL + " SELECT c_custkey, s_suppkey, round(km, 3) AS km FROM d WHERE c_nationkey = s_nationkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY round(km, 6), s_suppkey) = 1")
 def nearest_match(spark: SparkSession, d: str) -> DataFrame:
-    c = points(spark, d, "customer", "c_custkey", "c_nationkey")
-    s = points(spark, d, "supplier", "s_suppkey", "s_nationkey").withColumnsRenamed({"lat": "lat_r", "lon": "lon_r"})
-    pairs = c.join(s, F.col("c_nationkey") == F.col("s_nationkey")).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")))
-    return joins.nearest(pairs, ["c_custkey"], F.round("km", 6), ["s_suppkey"]).select("c_custkey", "s_suppkey", F.round("km", 3).alias("km"))
+    c = points(spark, d, "customer", "c_custkey", "c_nationkey").withColumnRenamed("c_nationkey", "nation")
+    s = points(spark, d, "supplier", "s_suppkey", "s_nationkey").withColumnRenamed("s_nationkey", "nation")
+    best = joins.nearest_within_key(c, s, ["nation"], "c_custkey", "s_suppkey", first_km=1000.0, keep=stored)
+    return best.select("c_custkey", "s_suppkey", F.round("km", 3).alias("km"))
 
 
 @query(POINTS_SQL + " SELECT c_custkey, s_suppkey, (row_number() OVER w)::INT AS rank FROM d WHERE km <= 2000.5 QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY c_custkey ORDER BY round(km, 6), s_suppkey)".replace("QUALIFY row_number() OVER w <= 3 WINDOW w AS (PARTITION BY c_custkey ORDER BY round(km, 6), s_suppkey)", "WINDOW w AS (PARTITION BY c_custkey ORDER BY round(km, 6), s_suppkey) QUALIFY row_number() OVER w <= 3"))
@@ -161,7 +161,7 @@ def cascade_first_hit(spark: SparkSession, d: str) -> DataFrame:
         return run
 
     passes = [("1-nation", answer("c_nationkey", "seg")), ("2-region", answer("n_regionkey", "seg")), ("3-any", answer("n_regionkey"))]
-    return C.status_of(c, C.cascade(c, "c_custkey", passes), "c_custkey", F.col("has_coords")).select("c_custkey", "s_suppkey", "pass", "status")
+    return C.status_of(c, C.cascade(c, "c_custkey", passes, keep=stored), "c_custkey", F.col("has_coords")).select("c_custkey", "s_suppkey", "pass", "status")
 
 
 HITS_SQL = """WITH h AS (SELECT l_orderkey AS ask, l_linenumber::BIGINT * 1000000000 + l_partkey AS rank, l_partkey, (60 + (l_partkey * 7 + l_suppkey) % 41)::DOUBLE AS score, CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE ((l_partkey * 3) % 100)::DOUBLE END AS confidence, l_suppkey % 3 = 0 AS has_geom, ((l_partkey * 5) % 90)::DOUBLE AS km FROM lineitem)"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrich, index_pages, quality
-from ..session import table
+from ..session import stored, table
 from .registry import query
 
 
@@ -36,7 +36,7 @@ def verified_names(spark: SparkSession, d: str) -> DataFrame:
     ok = k % 3 != 0
     places = table(spark, d, "customer").select("c_custkey", F.concat(F.lit("N."), F.col("c_nationkey").cast("string")).alias("name"), F.when(ok, (F.pmod(k * 37, F.lit(181)) - 90).cast("double")).alias("lat"), F.when(ok, (F.pmod(k * 53, F.lit(361)) - 180).cast("double")).alias("lon"))
     known = table(spark, d, "supplier").select(F.concat(F.lit("n "), F.col("s_nationkey").cast("string")).alias("name"), s.alias("known_id"), s.alias("rank"), (F.pmod(s * 37, F.lit(181)) - 90).cast("double").alias("klat"), (F.pmod(s * 53, F.lit(361)) - 180).cast("double").alias("klon"))
-    return quality.verified_join(places, known, "c_custkey", "name", 2000.5).select("c_custkey", "known_id", "status")
+    return quality.verified_join(places, known, "c_custkey", "name", 2000.5, keep=stored).select("c_custkey", "known_id", "status")
 
 
 @query("SELECT o_orderpriority, count(*) FILTER (o_custkey % 7 <> 0) AS tested, count(*) FILTER (o_custkey % 7 <> 0 AND o_orderkey % 3 = 0) AS failed, count(*) FILTER (o_custkey % 7 = 0) AS untestable FROM orders GROUP BY 1")

@@ -9,7 +9,7 @@ from ..functions import geo
 from ..functions import text as T
 from ..operators import phonetic, records
 from ..operators import quality as Q
-from ..session import table
+from ..session import stored, table
 from ..sources import artefacts, sinks
 from ..streaming import windows
 from .registry import query
@@ -419,11 +419,11 @@ def distance_classes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(records.distance_class(km, F.col("l_returnflag") != "N", 25.0).alias("class")).agg(F.count("*").alias("n"))
 
 
-@query("""SELECT c_custkey AS place_id, c_name AS name, n_name AS alias, CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'rejected_by_coordinate' END AS status, round(CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 100 END, 3) AS km FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+@query("""SELECT c_custkey AS place_id, c_name AS name, n_name AS alias, CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'rejected_by_coordinate' END AS status, round(CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal / 70 END, 3) AS km FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def alias_rows(spark: SparkSession, d: str) -> DataFrame:
     both = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     k = F.col("c_custkey")
-    return records.alias_rows(both.select(k.alias("place_id"), F.col("c_name").alias("printed"), F.col("n_name").alias("alias"), F.when(k % 2 == 0, "verified").otherwise("rejected_by_coordinate").alias("status"), F.when(k % 7 != 0, F.col("c_acctbal") / 100).alias("km")), "printed", "alias")
+    return records.alias_rows(both.select(k.alias("place_id"), F.col("c_name").alias("printed"), F.col("n_name").alias("alias"), F.when(k % 2 == 0, "verified").otherwise("rejected_by_coordinate").alias("status"), F.when(k % 7 != 0, F.col("c_acctbal") / 70).alias("km")), "printed", "alias")
 
 
 @query("""WITH p AS (SELECT c_custkey, c_acctbal > 0 AND c_custkey % 3 <> 0 AS usable, c_nationkey < 20 AS inside FROM customer)
@@ -466,7 +466,7 @@ def from_cache(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN length(k) <= 3 THEN 'short' END, CASE WHEN NOT regexp_matches(k, '[AEIOUY]') THEN 'no_vowel' END, CASE WHEN length(text) < 35 THEN 'stub' END, CASE WHEN length(text) > 40000 THEN 'runaway' END,
-CASE WHEN regexp_matches(k, 'AAA|EEE|III|OOO|TTT|NNN|SSS|RRR|HHH') THEN 'repeated' END, CASE WHEN regexp_matches(h, '\\d') THEN 'digits' END], lambda x: x IS NOT NULL), ',') AS flags FROM (SELECT doc_id, text, h, regexp_replace(upper(h), '[^A-Z]', '', 'g') AS k FROM (SELECT doc_id, text, regexp_extract(text, '^\\S+') || CASE WHEN doc_id % 6 = 0 THEN '7' ELSE '' END AS h FROM documents))""")
+CASE WHEN regexp_matches(k, 'AAA|EEE|III|OOO|TTT|NNN|SSS|RRR|HHH') THEN 'repeated' END, CASE WHEN regexp_matches(h, '\\d') THEN 'digits' END], lambda x: x IS NOT NULL), ',') AS flags FROM (SELECT doc_id, text, h, regexp_replace(upper(replace(h, 'ß', 'ss')), '[^A-Z]', '', 'g') AS k FROM (SELECT doc_id, text, regexp_extract(text, '^\\S+') || CASE WHEN doc_id % 6 = 0 THEN '7' ELSE '' END AS h FROM documents))""")
 def entry_flags(spark: SparkSession, d: str) -> DataFrame:
     """What is odd about an entry from itself: its first word as headword, its text as body."""
     head = F.concat(F.regexp_extract("text", r"^\S+", 0), F.when(F.col("doc_id") % 6 == 0, "7").otherwise(""))
@@ -549,7 +549,7 @@ def cascade_by_sound(spark: SparkSession, d: str) -> DataFrame:
     printed = c % 6 == 0
     places = table(spark, d, "customer").select(c.alias("place_id"), F.get(names, (c % 7).cast("int")).alias("name"), F.concat(F.lit("C"), (F.col("c_nationkey") % 5).cast("string")).alias("country_code"), parents(c, F.col("c_nationkey")).alias("parents"), F.when(printed, (c % 60).cast("double")).alias("lat"), F.when(printed, (c % 100).cast("double")).alias("lon"))
     index = table(spark, d, "supplier").select(s.alias("place_id"), F.get(heard, (s % 7).cast("int")).alias("title"), F.concat(F.lit("C"), (F.col("s_nationkey") % 5).cast("string")).alias("country_code"), F.array(F.concat(F.lit("R"), (F.col("s_nationkey") % 5).cast("string")), F.concat(F.lit("N"), F.col("s_nationkey").cast("string"))).alias("parents"), (20.0 + s % 80).alias("confidence"), (s % 2 == 0).alias("has_geom"), (s % 60).cast("double").alias("lat"), (s % 100).cast("double").alias("lon"))
-    return phonetic.reconciled(places, index)
+    return phonetic.reconciled(places, index, keep=stored)
 
 
 @query("SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'fresh' ELSE 'stored' END AS kind FROM pages UNION ALL SELECT -1 - n_nationkey, 'seed' FROM nation")

@@ -206,6 +206,29 @@ def test_distance_join_equals_brute_force(spark):
     assert sorted((r["i"], r["j"]) for r in got.collect()) == sorted((p[0], q[0]) for p in a for q in b if km(p, q) <= 500.0)
 
 
+def test_nearest_within_key_equals_brute_force(spark):
+    rnd = random.Random(13)
+    at = lambda: (round(rnd.uniform(-90, 90), 1), round(rnd.uniform(-180, 180), 1))
+    left = [(i, rnd.choice("abc"), *at()) for i in range(60)]
+    right = [(100 + i, rnd.choice("abd"), *at()) for i in range(40)] + [(500, "a", *left[0][2:]), (501, "a", *left[0][2:])]
+    l = spark.createDataFrame(left, "id int, k string, lat double, lon double")  # noqa: E741
+    r = spark.createDataFrame(right, "other int, k string, lat double, lon double")
+
+    def km(a, b):
+        p, q, x, y = map(math.radians, (*a, *b))
+        h = math.sin((x - p) / 2) ** 2 + math.cos(p) * math.cos(x) * math.sin((y - q) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(min(1, h)))
+
+    want = {}
+    for i, k, *a in left:
+        near = [(round(km(a, b), 6), j) for j, m, *b in right if m == k]
+        if near:
+            want[i] = min(near)[1]
+    for first in (50.0, 5000.0):
+        got = {x["id"]: x["other"] for x in joins.nearest_within_key(l, r, ["k"], "id", "other", first_km=first).collect()}
+        assert got == want
+
+
 def test_point_in_rings_with_hole_and_tolerance(spark):
     square = lambda x0, x1: [(x0, x0, x1, x0), (x1, x0, x1, x1), (x1, x1, x0, x1), (x0, x1, x0, x0)]
     edges = spark.createDataFrame([(1, *map(float, e)) for e in square(0, 10) + square(4, 6)], "area_id int, x1 double, y1 double, x2 double, y2 double")
@@ -456,3 +479,77 @@ def test_salvage(spark):
 
     got = values(spark, [('{"type": "map", "n": 3',), ('{"type": "map"}',), ("x",)], "s string", enrich.salvage_field(F.col("s"), "type").alias("a"), enrich.salvage_field(F.col("s"), "n").alias("b"))
     assert got == [("map", "3"), ("map", None), (None, None)]
+
+
+def test_passes_by_sound(spark):
+    """Each place is answered by the first pass that can: by name within its parent, by sound there, in the next broader one, in its country."""
+    from folioforge.operators import phonetic
+
+    index = [(10, "Bath", "GB", ["R1", "N1"], 95.0, True, 51.0, -2.0), (11, "Kanton", "CN", ["R2", "N2"], 88.0, True, 23.0, 113.0), (12, "Shansi", "CN", ["R2", "N9"], 31.0, False, 37.0, 112.0), (13, "Shansi", "CN", ["R3", "N8"], 20.0, True, 38.0, 111.0), (14, "Filipi", None, ["R4"], None, True, None, None)]
+    places = [(1, "BATH", "GB", ["R1", "N1"], None, None), (2, "Canton", "CN", ["R2", "N2"], None, None), (3, "Shan-see", "CN", ["R2", "N7"], None, None), (4, "Phillipi", None, [], None, None), (5, "Nowhere", "GB", ["R1"], None, None), (6, "Bathe", "GB", [], 51.1, -2.0), (7, "Bath", "GB", [], 40.0, -2.0), (8, "Shansee", "CN", ["R3", "N8"], None, None)]
+    i = spark.createDataFrame(index, "place_id long, title string, country_code string, parents array<string>, confidence double, has_geom boolean, lat double, lon double")
+    p = spark.createDataFrame(places, "place_id long, name string, country_code string, parents array<string>, lat double, lon double")
+    got = {r["place_id"]: (r["hit_id"], r["pass"], r["status"]) for r in phonetic.reconciled(p, i).collect()}
+    assert got == {1: (10, "1-exact-in", "reconciled"), 2: (11, "2-phon-in", "reconciled"), 3: (12, "3-phon-broad", "reconciled"), 4: (14, "4-phon-cc", "reconciled"), 5: (None, None, "unmatched"), 6: (10, "coord-match", "reconciled"), 7: (None, "coord-only", "coord_only"), 8: (12, "4-phon-cc", "reconciled")}
+    assert {tuple(r) for r in phonetic.candidates_for(p.select("place_id", F.col("name").alias("query"), F.col("country_code").alias("ccode"), F.lit(None).cast("string").alias("contained_in")), i, "exact").select("place_id", "hit_id").collect()} == {(1, 10), (7, 10)}
+
+
+def test_stored_artefacts(spark, tmp_path):
+    from folioforge.sources import artefacts
+
+    rows = spark.createDataFrame([(k, f"n{k}", k * 0.5) for k in range(1000)], "id long, name string, v double")
+    artefacts.write_details(rows, str(tmp_path / "d"), "id", 16)
+    assert artefacts.detail(spark, str(tmp_path / "d"), 37) == {"id": 37, "name": "n37", "v": 18.5} and artefacts.detail(spark, str(tmp_path / "d"), 5000) is None
+    docs = spark.createDataFrame([(1, "ÉVREUX", "a town of France"), (2, "EVRAN", "a village in France"), (3, "BATH", "waters and baths")], "id int, head string, body string")
+    artefacts.write_search(docs, str(tmp_path / "s"), "id", "head", "body", 8)
+    got = {r["id"]: r["score"] for r in artefacts.search_text(spark, str(tmp_path / "s"), "id", ["france", "town"]).collect()}
+    whole = search.postings(docs.select("id", F.concat_ws(" ", "head", "body").alias("t")), "id", "t")
+    want = {r["id"]: r["score"] for r in search.bm25(whole, "id", 3, 14 / 3, ["france", "town"]).collect()}
+    assert set(got) == {1, 2} and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    heads = {r["head"]: r["overlap"] for r in artefacts.search_heads(spark, str(tmp_path / "s"), "id", "Evreux").collect()}
+    assert heads["ÉVREUX"] == 1.0 and "BATH" not in heads
+    vectors = spark.createDataFrame([(2, [0.5, -1.0], "b"), (1, [0.0, 1.0], "a")], "id int, v array<double>, label string")
+    artefacts.write_matrix(vectors, str(tmp_path / "m"), "id", "v", ["label"])
+    assert [(r["id"], r["label"], list(r["bytes"])) for r in spark.read.parquet(str(tmp_path / "m" / "matrix")).orderBy("id").collect()] == [(1, "a", [0, 127]), (2, "b", [64, -127])]
+    assert artefacts.read_manifest(spark, str(tmp_path / "m"))["width"] == 2
+    entries = spark.createDataFrame([("v1", k, k // 3, f"H{k:02}") for k in range(7)], "volume string, seq int, page int, head string")
+    artefacts.write_reader(entries, str(tmp_path / "r"), "volume", "seq", "page", "head", 3)
+    assert artefacts.read_manifest(spark, str(tmp_path / "r")) == {"kind": "reader", "size": 3, "entries": 7, "chunks": 3}
+    assert spark.read.text(str(tmp_path / "r" / "chunks")).where("chunk = 2").count() == 1
+    artefacts.write_review(entries, str(tmp_path / "w"), [F.col("seq").asc()], ["volume"], 4)
+    assert [r["n"] for r in spark.read.json(str(tmp_path / "w" / "shards")).orderBy("shard").collect()] == [4, 3]
+    artefacts.write_csv_bom(entries, str(tmp_path / "c"), F.col("seq") == 5, [F.col("seq")])
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "c").glob("part-*.csv"))).splitlines()
+    assert lines[0].startswith("\ufeffvolume,") and lines[1].startswith("v1,5,")
+    assert artefacts.markdown_table(entries.groupBy("page").count().orderBy("page"), "Pages").splitlines()[-1].startswith("| 2 |")
+    with pytest.raises(ValueError):
+        artefacts.markdown_table(entries, "Entries", 3)
+    joined = spark.createDataFrame([(1, "verified"), (2, "rejected_by_coordinate"), (3, "unverifiable_no_coordinate")], "id int, status string")
+    artefacts.write_bridge(joined, str(tmp_path / "b"), "id")
+    assert spark.read.text(str(tmp_path / "b" / "bridge")).where("part = 'verified'").count() == 1
+    artefacts.write_dictionary(entries, str(tmp_path / "t"), "head", F.to_json(F.struct("page")))
+    words = [x for p in sorted((tmp_path / "t" / "dictionary").glob("part-*")) for x in p.read_text().splitlines()]
+    assert words == sorted(words) and words[0] == '"H00":{"page":0}'
+
+
+def test_two_hops_and_words(spark):
+    from folioforge.operators import records
+
+    t = [("c1", "label", "n1", None), ("n1", "form", "Stadt", "de"), ("n1", "form", "town", "en"), ("c2", "label", "n2", None), ("c3", "other", "n1", None)]
+    triples = spark.createDataFrame(t, "subject string, predicate string, object string, lang string")
+    assert [tuple(r) for r in records.two_hop_labels(triples, "label", "form", "en").collect()] == [("c1", "town")]
+    tokens = spark.createDataFrame([("Towns",), ("ss",), ("s",), ("Bath",)], "t string")
+    assert {r["t"]: r["known"] for r in records.known_words(tokens, "t", spark.createDataFrame([("town",), ("s",)], "word string")).collect()} == {"Towns": True, "ss": True, "s": True, "Bath": False}
+    with pytest.raises(AssertionError):
+        records.in_common(tokens, spark.createDataFrame([("zz",)], "t string"), ["t"])
+
+
+def test_stream_progress_and_sliding_windows(spark, tmp_path):
+    from folioforge.streaming import windows
+
+    spark.sql("SELECT timestamp'2024-01-01 00:30:00' ts, 'a' kind UNION ALL SELECT timestamp'2024-01-01 01:30:00', 'a'").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = windows.sliding_counts(stream, "ts", "2 hours", "1 hour", ["kind"], late="1 hour").writeStream.outputMode("complete").format("memory").queryName("sliding").trigger(availableNow=True).start()
+    q.awaitTermination(60)
+    assert sorted(r["n"] for r in spark.table("sliding").collect()) == [1, 1, 2]
+    assert windows.progress(q)["batch"] >= 0

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import clear_shared, shared_dir, table
+from ..session import stored as written
 
 __all__ = ["by_size", "clear_shared", "every_of", "keyed_join", "one_of", "shared_dir", "shares_of", "table", "texts_of", "vocabulary", "written"]
 
@@ -25,42 +25,6 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_MADE: list[str] = []
-
-
-def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or, where that is unset and all run on one machine, one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file:///tmp/folioforge-checkpoints"
-    _MADE.append(f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}")
-    return _MADE[-1]
-
-
-def clear_shared(spark: SparkSession, paths: list[str] | None = None) -> int:
-    """Removes tables written to the shared folder (all that this driver wrote, if none are named) once no result that reads them is needed."""
-    n = 0
-    for name in list(_MADE if paths is None else paths):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-        n += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        if name in _MADE:
-            _MADE.remove(name)
-    return n
-
-
-def written(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
-    """df as a Parquet table in the shared folder, read again: cuts the lineage and survives lost executors. The folder is added to ``made``."""
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    df.write.parquet(path)
-    if made is not None:
-        made.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 SHARES, LEAST_HOT = 1000, 64
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -64,14 +65,25 @@ def keyed_join(many: DataFrame, one: DataFrame, on: list[str], by: list[str | Co
     return many.withColumn("_share", one_of(deal, by)).join(one.withColumn("_share", every_of(deal)), [*on, "_share"], how).drop("_share")
 
 
-def by_size(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches: at most 2,000 rows and about ``limit`` bytes of ``column`` each."""
+def by_size(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: at most 2,000 rows and about ``limit`` bytes of ``column`` each. At the end, freed memory goes back to the system."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
         mean = max(1, col.nbytes // max(1, len(col)))
         step = max(1, min(2000, limit // mean))
         for at in range(0, len(batch), step):
             yield batch.slice(at, step)
+        del batch, col
+    give_back()
+
+
+def give_back() -> None:
+    """Workers outlive their tasks and are many on a machine: what a task has freed is not kept for the next one."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        return
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

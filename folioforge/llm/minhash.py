@@ -256,11 +256,13 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
 
 
-def shared_sums(left: list[np.ndarray], right: list[np.ndarray], weight_left: list[np.ndarray], weight_right: list[np.ndarray], step: int = 4096) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shared_sums(left: list[np.ndarray], right: list[np.ndarray], counts_left: list[np.ndarray], counts_right: list[np.ndarray], step: int = 2048) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every left with every right set: the number of common elements, and their weights' sum on the left and on the right. Products of sparse-row matrices over the elements both sides have."""
-    sides = [(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(weights), len(sets)) for sets, weights in ((left, weight_left), (right, weight_right))]
-    both = np.intersect1d(sides[0][0], sides[1][0])
+    sides = [(np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets]), weights_of(np.concatenate(counts)).astype(np.float32), len(sets)) for sets, counts in ((left, counts_left), (right, counts_right))]
+    both = np.unique(sides[0][0])
+    both = both[np.isin(both, sides[1][0])]
     n, a, b = (np.zeros((len(left), len(right)), np.float32) for _ in range(3))
+    sides = [(value[met], of[met], weight[met], rows) for value, of, weight, rows in sides for met in [np.isin(value, both)]]
     for at in range(0, len(both), step):
         part = both[at : at + step]
         m = []
@@ -287,8 +289,7 @@ def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray
         return x
 
     size = np.array([len(x) for x in sets])
-    weights = [weights_of(c) for c in counts]
-    whole = np.array([w.sum() for w in weights])
+    whole = np.array([weights_of(c).sum() for c in counts])
     repeated = np.array([bool((c > 1).any()) for c in counts])
     mine = bands == band
     out: list[tuple[int, int]] = []
@@ -310,7 +311,7 @@ def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray
         hopeful = np.ones(len(x), bool)
         if len(x) > 500:  # bounds on both similarities: 1 / sum_j max(x_j / x_i, y_j / y_i) is at most x_i / sum(x), and at most y_i / sum(y)
             us, vs = np.unique(x), np.unique(y)
-            shared, of_x, of_y = (m[np.searchsorted(us, x), np.searchsorted(vs, y)] for m in shared_sums([sets[i] for i in us], [sets[i] for i in vs], [weights[i] for i in us], [weights[i] for i in vs]))
+            shared, of_x, of_y = (m[np.searchsorted(us, x), np.searchsorted(vs, y)] for m in shared_sums([sets[i] for i in us], [sets[i] for i in vs], [counts[i] for i in us], [counts[i] for i in vs]))
             plain = shared / (size[x] + size[y] - shared)
             bound = np.minimum(of_x / whole[x], of_y / whole[y])
             hopeful = (plain >= threshold - 1e-3) | ((bound >= threshold - 1e-3) & (repeated[x] | repeated[y]))  # without repeated shingles the two are the same
@@ -323,16 +324,26 @@ def block_links(band: int, node: np.ndarray, comp: np.ndarray, bands: np.ndarray
     return out
 
 
+def _views(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """The arrays in a binary column, as views of its buffer: texts' sets are large, and are not copied."""
+    width = np.dtype(kind).itemsize
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    start = int(ends[0])
+    whole = np.frombuffer(column.buffers()[2], np.uint8)[start : int(ends[-1])].view(kind) if len(column) and int(ends[-1]) > start else np.zeros(0, kind)
+    at = ((ends - start) // width).tolist()
+    return [whole[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+
 def _linked_in_blocks(members: DataFrame, threshold: float) -> DataFrame:
     """Links (u, v) between components found in the blocks of unfinished buckets. members: band, i, j, side, node, component, bands, sketch, hashes, counts."""
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.take(pa.array(np.argsort(t.column("node").to_numpy(), kind="stable")))
-        node, comp, side = (t.column(c).to_numpy() for c in ("node", "component", "side"))
-        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-        sets = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
-        counts = [np.frombuffer(x, np.uint32) for x in t.column("counts").to_pylist()]
+        t = t.combine_chunks()
+        order = np.argsort(t.column("node").to_numpy(), kind="stable")
+        node, comp, side = (t.column(c).to_numpy()[order] for c in ("node", "component", "side"))
+        bands = t.column("bands").chunk(0).flatten().to_numpy().reshape(len(node), -1)[order]
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)[order]
+        sets, counts = ([x[i] for i in order.tolist()] for x in (_views(t.column("hashes").chunk(0), np.uint64), _views(t.column("counts").chunk(0), np.uint32)))
         every = np.arange(len(node))
         left, right = (every, every) if (side == 2).all() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         found = block_links(int(t.column("band")[0].as_py()), node, comp, bands, sketch, sets, counts, left, right, threshold)

@@ -65,11 +65,12 @@ def test_weighted_similarity_by_definition():
 def test_shared_sums():
     rnd = np.random.default_rng(2)
     sets = [np.unique(rnd.integers(0, 300, 80)).astype(np.uint64) for _ in range(20)]
-    weights = [rnd.integers(1, 9, len(x)).astype(float) for x in sets]
-    n, of_left, of_right = minhash.shared_sums(sets[:12], sets[12:], weights[:12], weights[12:], step=50)
+    counts = [rnd.integers(1, 9, len(x)) for x in sets]
+    weights = [minhash.weights_of(c) for c in counts]
+    n, of_left, of_right = minhash.shared_sums(sets[:12], sets[12:], counts[:12], counts[12:], step=50)
     for i, a in enumerate(sets[:12]):
         for j, b in enumerate(sets[12:]):
-            assert (n[i, j], of_left[i, j], of_right[i, j]) == (len(np.intersect1d(a, b)), weights[i][np.isin(a, b)].sum(), weights[12 + j][np.isin(b, a)].sum())
+            assert np.allclose((n[i, j], of_left[i, j], of_right[i, j]), (len(np.intersect1d(a, b)), weights[i][np.isin(a, b)].sum(), weights[12 + j][np.isin(b, a)].sum()), rtol=1e-5)
 
 
 def test_bounds_hold_for_the_probability_jaccard():

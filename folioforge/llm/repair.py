@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import by_size, shared_dir, table, texts_of, vocabulary
 
-BLOCK_IDS, ROUNDS, RULES_A_ROUND, LEAST = 1 << 20, 64, 2000, 5
+BLOCK_IDS, ROUNDS, RULES_A_ROUND, LEAST = 1 << 20, 64, 2000, 12
 _BUCKETS = 20
 
 

@@ -3,8 +3,8 @@
 Rows are range-partitioned by document id, so that task t holds the t-th stretch of the ascending order. A task tokenises its
 documents in order and closes a block when it holds about ``block_ids`` ids. In a block, frequent pairs of neighbouring ids are
 replaced by new ids (nonterminals) over several rounds; a round replaces many pairs at once, each from left to right without
-overlap, instead of one pair per pass over the data. Rounds go on until no pair recurs ``LEAST`` times (a rule costs as much as four
-pairs save) or the 16-bit ids are used up. A block row stores the rules, the length each nonterminal expands to, the
+overlap, instead of one pair per pass over the data. Rounds go on until no pair recurs ``LEAST`` times or the 16-bit ids are used
+up; rarer pairs are left, since a rule costs as much as four pairs save and the time of a round. A block row stores the rules, the length each nonterminal expands to, the
 compressed sequence and the documents' ids and lengths. Since the expansion lengths give the position of every symbol, a
 document is decoded from its own stretch of symbols alone.
 

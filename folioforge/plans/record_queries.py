@@ -24,7 +24,7 @@ def shard_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
-def open_places(spark: SparkSession, d: str) -> DataFrame:
+def places_open(spark: SparkSession, d: str) -> DataFrame:
     matched = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
     return table(spark, d, "orders").where(F.col("o_orderstatus").isin("O", "P")).select("o_orderkey", "o_orderstatus").join(matched, "o_orderkey", "left_anti")
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import cell, haversine_km, lon_reach
+from ..functions.geo import EARTH_KM, cell, haversine_km, lon_reach
 
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], on: str, values: list[str], inclusive: bool = True, or_first: bool = False) -> DataFrame:
@@ -50,12 +50,20 @@ def asof_backward_split(left: DataFrame, right: DataFrame, by: list[str], on: st
     return out.select(*left.columns, got.alias("__got")).select(*left.columns, *(F.col(f"__got.{v}").alias(f"prev_{v}") for v in values))
 
 
-def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None, by: list[str] | None = None) -> DataFrame:
-    """Pairs of points (columns lat, lon on both sides; other names distinct but for ``by``, which must agree) at most km apart, with their distance ``km``.
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """df dealt by columns to as many tasks as a shuffle has: for rows that are few before a join or an explode, and many after it."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *columns)
 
-    Left points are sent to all grid cells their circle can touch (wider in longitude towards the poles, and across the date line),
-    right points to their own: an equality join on the cell, then the true distance.
+
+def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None, by: list[str] | None = None, digits: int | None = None) -> DataFrame:
+    """Pairs of points (columns lat, lon on both sides; other names distinct but for ``by``, which must agree) at most km apart, with their distance ``km`` (rounded to ``digits``, if given).
+
+    Points of one place (and ``by``) are looked for once: places of the left are sent to all grid cells their circle can touch (wider in longitude
+    towards the poles, and across the date line), places of the right to their own: an equality join on the cell, then the true distance.
+    Pairs of places are then given back to the points at them, by two equality joins.
     """
+    by = by or []
     size = size or max(km / 111.0, 0.05)
     cells = math.ceil(360 / size)
     dy = math.ceil(km / 111.0 / size)
@@ -63,40 +71,77 @@ def within_distance(left: DataFrame, right: DataFrame, km: float, size: float |
     wrapped = lambda c: F.pmod(c, F.lit(cells))
     rows = F.sequence(cell(F.col("lat") + 90, size) - dy, cell(F.col("lat") + 90, size) + dy)
     cols = F.array_distinct(F.transform(F.sequence(cell(F.col("lon") + 180, size) - n - 1, cell(F.col("lon") + 180, size) + n + 1), wrapped))
-    a = left.withColumn("__y", F.explode(rows)).withColumn("__x", F.explode(cols))
+    a = spread(left.select(*by, "lat", "lon").distinct(), *by, "lat", "lon").withColumn("__y", F.explode(rows)).withColumn("__x", F.explode(cols))
     b = right.select(*(F.col(c).alias(f"{c}_r" if c in ("lat", "lon") else c) for c in right.columns))
-    b = b.withColumn("__y", cell(F.col("lat_r") + 90, size)).withColumn("__x", wrapped(cell(F.col("lon_r") + 180, size)))
-    out = a.join(b, [*(by or []), "__y", "__x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")))
-    return out.where(F.col("km") <= km).drop("__y", "__x", "lat_r", "lon_r")
+    spots = b.select(*by, "lat_r", "lon_r").distinct().withColumn("__y", cell(F.col("lat_r") + 90, size)).withColumn("__x", wrapped(cell(F.col("lon_r") + 180, size)))
+    met = a.join(spots, [*by, "__y", "__x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")))
+    met = met.where(F.col("km") <= km).select(*by, "lat", "lon", "lat_r", "lon_r", (F.round("km", digits) if digits is not None else F.col("km")).alias("km"))
+    # the right's points first: so the larger product is made last, from rows that need not be moved again
+    return spread(left, *by, "lat", "lon").join(met.join(b, [*by, "lat_r", "lon_r"]).drop("lat_r", "lon_r"), [*by, "lat", "lon"]).select(*left.columns, *(c for c in right.columns if c not in (*by, "lat", "lon")), "km")
+
+
+WHOLE_EARTH_KM, EARTH_LEVELS = 20100.0, 20
 
 
-def nearest(pairs: DataFrame, key: list[str], distance: Column, tie: list[str], k: int = 1) -> DataFrame:
-    """The k rows of each key of least distance, ties by ``tie``; Spark cuts each task's rows to k a key before the shuffle."""
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(distance, *tie))).where(F.col("rank") <= k)
+def _unit(df: DataFrame, name: str = "") -> DataFrame:
+    """df with the place of its lat, lon on the unit sphere, and without rows that have none. The square of a straight line there is 4 h of haversine."""
+    a, o = F.radians(f"lat{name}"), F.radians(f"lon{name}")
+    at = df.withColumn(f"__x{name}", F.cos(a) * F.cos(o)).withColumn(f"__y{name}", F.cos(a) * F.sin(o)).withColumn(f"__z{name}", F.sin(a))
+    whole = F.col(f"__x{name}") + F.col(f"__y{name}") + F.col(f"__z{name}")
+    return at.where(whole.isNotNull() & ~F.isnan(whole))
 
 
-WHOLE_EARTH_KM = 20100.0
+def _cube(x: Column, level: Column) -> Column:
+    """Number, along one axis, of the cube that holds x where the axis from -1 to 1 is halved ``level`` times."""
+    n = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
+    return F.greatest(F.lit(0), F.least(n - 1, F.floor((x + 1) / 2 * n)))
 
 
-def nearest_within_key(left: DataFrame, right: DataFrame, by: list[str], key: str, tie: str, first_km: float = 100.0, grow: float = 4.0, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """left with the columns of its nearest right point of equal ``by`` and its distance ``km``; left points without any are left out.
+def _cube_id(x: Column, y: Column, z: Column) -> Column:
+    return (x * (1 << EARTH_LEVELS) + y) * (1 << EARTH_LEVELS) + z
 
-    A circle that grows: what is found within it is the nearest, and only points that found nothing look further. So no point meets all
-    points of its key, unless they lie within the first circle. Distances that agree to the millimetre are ties, settled by ``tie``.
-    keep writes a round's answers (see cascade.cascade); there are as many rounds as it takes to grow over the earth.
+
+def nearest_points(left: DataFrame, right: DataFrame, by: list[str], tie: str, k: int = 1, most_km: float = WHOLE_EARTH_KM) -> DataFrame:
+    """left with the columns of its k nearest right points of equal ``by`` at most most_km away, their distance ``km`` and number ``nth`` (from 1).
+
+    Left points that have none are left out. Distances that agree to the millimetre are ties, settled by ``tie``. Points of one place are looked
+    for once, and a place holds the k first of the right's points at it. The sphere lies in cubes that are halved EARTH_LEVELS times: the smallest cube
+    round a left place with k right points says how far the k nearest can be, and only cubes within that reach are looked at. So a place meets
+    some multiple of k points however many there are, unless most of the right's lie close together and the left's far from them.
     """
-    out, open_, km = None, left, first_km
     rest = [c for c in right.columns if c not in (*by, "lat", "lon")]
-    while True:
-        last = km >= WHOLE_EARTH_KM
-        pairs = within_distance(open_, right, min(km, WHOLE_EARTH_KM), by=by)
-        best = pairs.groupBy(key).agg(F.min_by(F.struct(*rest, "km"), F.struct(F.round("km", 6), F.col(tie))).alias("__b")).select(key, "__b.*")
-        best = best if last else best.where(F.col("km") <= km - 1e-5)  # a tie may lie just outside the circle
-        best = keep(best, "nearest") if keep else best
-        out = best if out is None else out.unionByName(best)
-        if last:
-            return left.join(out, key)
-        open_, km = open_.join(best.select(key), key, "left_anti"), km * grow
+    place, cube = [*by, "lat", "lon"], [*by, "__level", "__cube"]
+    first = F.row_number().over(Window.partitionBy(*place).orderBy(tie))
+    held = right.withColumn("__first", first).where(F.col("__first") <= k).select(*by, F.struct(*rest).alias("__v"), F.col("lat").alias("lat_r"), F.col("lon").alias("lon_r"))
+    levels, level = F.explode(F.sequence(F.lit(0), F.lit(EARTH_LEVELS))).alias("__level"), F.col("__level")
+    own = lambda name: _cube_id(*(_cube(F.col(f"__{c}{name}"), level) for c in "xyz")).alias("__cube")
+    there = _unit(held, "_r").select("*", levels).select("*", own("_r"))
+    full = there.groupBy(*cube).agg(F.count("*").alias("__points")).where((F.col("__points") >= k) | (level == 0)).drop("__points")
+    asks = _unit(spread(left.select(*place).distinct(), *place))
+    tops = asks.select("*", levels).select("*", own("")).join(full, cube).groupBy(*place, "__x", "__y", "__z").agg(F.max("__level").alias("__top"))
+    slack = 1e-9  # six millimetres, for ties
+    reach = F.least(2 * math.sqrt(3) / F.pow(F.lit(2.0), F.col("__top")), F.lit(2 * math.sin(min(most_km / (2 * EARTH_KM), math.pi / 2)))) + slack
+    at = tops.withColumn("__r", reach).withColumn("__level", F.greatest(F.lit(0), F.least(F.lit(EARTH_LEVELS), F.floor(F.log2(2 / F.col("__r"))))).cast("int"))
+    edge, gap = 2 / F.call_function("shiftleft", F.lit(1).cast("bigint"), level), F.lit(0.0)
+    for c in "xyz":
+        x = F.col(f"__{c}")
+        at = at.withColumn(f"__c{c}", F.explode(F.sequence(_cube(x - F.col("__r"), level), _cube(x + F.col("__r"), level))))
+        low = F.col(f"__c{c}") * edge - 1
+        gap = gap + F.pow(F.greatest(low - x, x - low - edge, F.lit(0.0)), 2)
+    at = at.where(gap <= F.pow("__r", 2) + slack).withColumn("__cube", _cube_id(*(F.col(f"__c{c}") for c in "xyz"))).select(*place, "__x", "__y", "__z", "__r", "__level", "__cube")
+    line = sum((F.pow(F.col(f"__{c}") - F.col(f"__{c}_r"), 2) for c in "xyz"), F.lit(0.0))
+    near = at.join(there, cube).where(line <= F.pow("__r", 2) + slack).select(*place, "__v", haversine_km(F.col("lat"), F.col("lon"), F.col("lat_r"), F.col("lon_r")).alias("km"))
+    best = near.where(F.col("km") <= most_km).withColumn("nth", F.row_number().over(Window.partitionBy(*place).orderBy(F.round("km", 6), F.col(f"__v.{tie}")))).where(F.col("nth") <= k)
+    return left.join(best, place).select(*left.columns, *(F.col(f"__v.{c}").alias(c) for c in rest), "km", "nth")
+
+
+def nearest_within_key(left: DataFrame, right: DataFrame, by: list[str], key: str, tie: str, first_km: float | None = None, grow: float | None = None, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """left with the columns of its nearest right point of equal ``by`` and its distance ``km`` (see nearest_points); left points without any are left out.
+
+    keep writes the answers. first_km and grow set the pace of an earlier search by growing circles; they change nothing now.
+    """
+    out = nearest_points(left, right, by, tie).drop("nth")
+    return keep(out, "nearest") if keep else out
 
 
 def dedup_enrich(asks: DataFrame, request: list[str], answer) -> DataFrame:

@@ -229,6 +229,74 @@ def test_nearest_within_key_equals_brute_force(spark):
         assert got == want
 
 
+def rows_of_joins(df):
+    """Most rows that a join of the plan gave, once the query has run."""
+    df.collect()
+    found = []
+
+    def walk(p):
+        if p.nodeName().startswith("AdaptiveSparkPlan"):
+            walk(p.executedPlan())
+        elif "QueryStage" in p.nodeName():
+            walk(p.plan())
+        got = p.metrics().get("numOutputRows")
+        if "Join" in p.nodeName() and got.isDefined():
+            found.append(got.get().value())
+        kids = p.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(found)
+
+
+def crowded(rnd, n, first):
+    """Points of which many lie at few places, at the poles, at the date line and at either writing of one place."""
+    places = [(90.0, 10.0), (90.0, -170.0), (-90.0, 0.0), (12.5, 180.0), (12.5, -180.0), (12.5, 179.95), (0.0, 0.0), (0.1, 0.0), (50.0, 7.0)]
+    return [(first + i, rnd.choice("abc"), *(rnd.choice(places) if rnd.random() < 0.7 else (round(rnd.uniform(-90, 90), 1), round(rnd.uniform(-180, 180), 1)))) for i in range(n)]
+
+
+def great_circle(a, b):
+    p, q, x, y = map(math.radians, (*a, *b))
+    h = math.sin((x - p) / 2) ** 2 + math.cos(p) * math.cos(x) * math.sin((y - q) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1, h)))
+
+
+def test_k_nearest_points_equal_brute_force(spark):
+    rnd = random.Random(29)
+    left, right = crowded(rnd, 150, 0), crowded(rnd, 200, 1000)
+    l = spark.createDataFrame([*left, (990, "a", None, 3.0), (991, "a", float("nan"), 3.0)], "id int, k string, lat double, lon double")  # noqa: E741
+    r = spark.createDataFrame([*right, (5000, "a", None, None), (5001, "a", float("nan"), 1.0)], "other int, k string, lat double, lon double")
+    for by, k, most in (([], 3, 2000.5), (["k"], 1, 20100.0), (["k"], 4, 900.0), ([], 300, 20100.0)):
+        other = r if by else r.drop("k")
+        got = sorted((x["id"], x["nth"], x["other"]) for x in joins.nearest_points(l, other, by, "other", k, most).collect())
+        want = []
+        for i, key, *a in left:
+            near = sorted((round(great_circle(a, b), 6), j) for j, m, *b in right if (m == key or not by) and great_circle(a, b) <= most)[:k]
+            want += [(i, n + 1, j) for n, (_, j) in enumerate(near)]
+        assert got == sorted(want)
+
+
+def test_nearest_points_form_few_pairs(spark):
+    """Copies of a place, and points far away, are not paired: 2,000 by 2,000 points would be 4,000,000 pairs, 2,000 by 2,000 / 3 within a key."""
+    rnd = random.Random(31)
+    l = spark.createDataFrame(crowded(rnd, 2000, 0), "id int, k string, lat double, lon double")  # noqa: E741
+    r = spark.createDataFrame(crowded(rnd, 2000, 10000), "other int, k string, lat double, lon double")
+    assert rows_of_joins(joins.nearest_within_key(l, r, ["k"], "id", "other", first_km=5000.0)) < 100_000
+
+
+def test_distance_join_of_copies(spark):
+    """Pairs of places are measured once and given to all points at them."""
+    rnd = random.Random(37)
+    a, b = crowded(rnd, 120, 0), crowded(rnd, 120, 1000)
+    l = spark.createDataFrame([*a, (990, "a", None, 3.0)], "i int, k string, lat double, lon double")  # noqa: E741
+    r = spark.createDataFrame(b, "j int, k string, lat double, lon double")
+    got = joins.within_distance(l, r, 600.5, by=["k"], digits=3)
+    assert got.columns == ["i", "k", "lat", "lon", "j", "km"]
+    want = sorted((p[0], q[0], round(great_circle(p[2:], q[2:]), 3)) for p in a for q in b if p[1] == q[1] and great_circle(p[2:], q[2:]) <= 600.5)
+    assert sorted((x["i"], x["j"], x["km"]) for x in got.collect()) == want
+
+
 def test_point_in_rings_with_hole_and_tolerance(spark):
     square = lambda x0, x1: [(x0, x0, x1, x0), (x1, x0, x1, x1), (x1, x1, x0, x1), (x0, x1, x0, x0)]
     edges = spark.createDataFrame([(1, *map(float, e)) for e in square(0, 10) + square(4, 6)], "area_id int, x1 double, y1 double, x2 double, y2 double")

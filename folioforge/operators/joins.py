@@ -51,9 +51,12 @@ def asof_backward_split(left: DataFrame, right: DataFrame, by: list[str], on: st
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """df dealt by columns to as many tasks as a shuffle has: for rows that are few before a join or an explode, and many after it."""
+    """df dealt by columns to as many tasks as a shuffle has: for rows that are few before a join or an explode, and many after it.
+
+    Dealt by a hash of the columns: an exchange by the columns themselves is taken for the one below it, whose few bytes Spark puts into one task.
+    """
     spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), *columns)
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism), F.xxhash64(*columns))
 
 
 def within_distance(left: DataFrame, right: DataFrame, km: float, size: float | None = None, by: list[str] | None = None, digits: int | None = None) -> DataFrame:

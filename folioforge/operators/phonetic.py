@@ -41,8 +41,19 @@ def candidates_for(asked: DataFrame, index: DataFrame, mode: str) -> DataFrame:
     return met.select("place_id", "hit_id", "title", score.alias("score"), F.when(F.lit(mode == "exact"), None).otherwise(F.col("confidence")).alias("confidence"), "has_geom", "hit_lat", "hit_lon", F.col("hit_id").alias("rank"))
 
 
+def first_alike(index: DataFrame, alike: list[str], confident_only: bool) -> DataFrame:
+    """The first record (by place_id) of those that are alike in all that a score and a scope can see; with confident_only of the confident ones."""
+    good = index.where(C.confident(F.col("confidence"))) if confident_only else index
+    rest = [c for c in index.columns if c not in alike]
+    return good.groupBy(*alike).agg(F.min_by(F.struct(*rest), "place_id").alias("__v")).select(*alike, "__v.*")
+
+
 def name_passes(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """place_id, hit_id, title, score, ..., pass: what each pass finds for places that no earlier one answered. Identical requests are asked once."""
+    """place_id, hit_id, title, score, ..., pass: what each pass finds for places that no earlier one answered. Identical requests are asked once,
+    of the index's records that no pass can tell apart the first."""
+    seen = ["title", "country_code", "parents", "has_geom"]
+    known = {mode: first_alike(index, seen, mode == "phonetic") for mode in ("exact", "phonetic")}
+    known = {mode: keep(df, f"index-{mode}") for mode, df in known.items()} if keep else known
     passes = []
     for name, mode, scope in PASSES:
 
@@ -50,7 +61,7 @@ def name_passes(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame,
             asked = requests(left, name, mode, scope)
             alike = ["query", "mode", "ccode", "contained_in"]
             once = asked.groupBy(*alike).agg(F.min("place_id").alias("place_id"))
-            got = C.winners(candidates_for(once, index, mode), ["place_id"])
+            got = C.winners(candidates_for(once, known[mode], mode), ["place_id"])
             back = once.withColumnRenamed("place_id", "__first").join(got.withColumnRenamed("place_id", "__first"), "__first")
             same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in alike]
             return asked.alias("a").join(back.alias("b"), same).select("a.place_id", *(f"b.{c}" for c in got.columns if c != "place_id"))
@@ -60,13 +71,18 @@ def name_passes(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame,
 
 
 def coordinate_pass(places: DataFrame, index: DataFrame, km: float = C.COORD_KM) -> DataFrame:
-    """place_id, hit_id, km, pass for places with a printed point: the nearest good record of the same sound near it, else coord-only."""
-    near = within_distance(places.select("place_id", "name", "lat", "lon"), index.where("lat IS NOT NULL AND lon IS NOT NULL").select(F.col("place_id").alias("hit_id"), "title", "confidence", "has_geom", "lat", "lon"), km)
-    like = near.where(phonetic_key(F.col("name")) == phonetic_key(F.col("title")))
+    """place_id, hit_id, km, pass for places with a printed point: the nearest good record of the same sound near it, else coord-only.
+    Identical requests are asked once, and only records of their sound are met."""
+    asks = places.select("name", "lat", "lon").distinct().withColumn("__k", phonetic_key(F.col("name")))
+    known = first_alike(index.where("lat IS NOT NULL AND lon IS NOT NULL"), ["title", "lat", "lon"], True)
+    known = known.select(F.col("place_id").alias("hit_id"), "title", "confidence", "has_geom", "lat", "lon", phonetic_key(F.col("title")).alias("__k"))
+    like = within_distance(asks, known, km, by=["__k"])
     score = F.when(fold(F.col("name")) == fold(F.col("title")), 100.0).otherwise(100.0 - 5.0 * F.least(F.levenshtein(fold(F.col("name")), fold(F.col("title"))), F.lit(20)))
-    hits = like.select("place_id", "hit_id", "title", score.alias("score"), "confidence", "has_geom", "km", F.col("hit_id").alias("rank"))
-    best = C.by_coordinate(hits, ["place_id"], most_km=km).withColumn("pass", F.lit("coord-match"))
-    return places.select("place_id").join(best, "place_id", "left").withColumn("pass", F.coalesce("pass", F.lit("coord-only")))
+    hits = like.select("name", "lat", "lon", "hit_id", "title", score.alias("score"), "confidence", "has_geom", "km", F.col("hit_id").alias("rank"))
+    best = C.by_coordinate(hits, ["name", "lat", "lon"], most_km=km).withColumn("pass", F.lit("coord-match"))
+    alike = [F.col(f"p.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ("name", "lat", "lon")]
+    met = places.select("place_id", "name", "lat", "lon").alias("p").join(best.alias("b"), alike, "left")
+    return met.select("p.place_id", *(f"b.{c}" for c in best.columns if c not in ("name", "lat", "lon", "pass")), F.coalesce("pass", F.lit("coord-only")).alias("pass"))
 
 
 def reconciled(places: DataFrame, index: DataFrame, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:

@@ -571,6 +571,36 @@ def test_passes_by_sound(spark):
     assert {tuple(r) for r in phonetic.candidates_for(p.select("place_id", F.col("name").alias("query"), F.col("country_code").alias("ccode"), F.lit(None).cast("string").alias("contained_in")), i, "exact").select("place_id", "hit_id").collect()} == {(1, 10), (7, 10)}
 
 
+def test_sound_passes_ask_once(spark):
+    """Many places that ask alike, of many records alike: the pairs met do not grow with either. The first confident record answers all."""
+    from folioforge.operators import phonetic
+
+    p = spark.range(600).select(F.col("id").alias("place_id"), F.lit("Canton").alias("name"), F.lit("CN").alias("country_code"), F.array(F.lit("R2")).alias("parents"), F.when(F.col("id") % 2 == 0, 23.0).alias("lat"), F.when(F.col("id") % 2 == 0, 113.0).alias("lon"))
+    i = spark.range(600).select((10000 + F.col("id")).alias("place_id"), F.lit("Kanton").alias("title"), F.lit("CN").alias("country_code"), F.array(F.lit("R2")).alias("parents"), F.when(F.col("id") < 3, 10.0).otherwise(90.0).alias("confidence"), F.lit(True).alias("has_geom"), F.lit(23.1).alias("lat"), F.lit(113.0).alias("lon"))
+    out = phonetic.coordinate_pass(p.where("lat IS NOT NULL"), i)
+    assert rows_of_joins(out) <= 600
+    assert {(r["hit_id"], r["pass"]) for r in out.collect()} == {(10003, "coord-match")}
+    out = phonetic.reconciled(p, i)
+    assert rows_of_joins(out) <= 600
+    assert {(r["hit_id"], r["pass"]) for r in out.collect()} == {(10003, "coord-match"), (10003, "2-phon-in")}
+
+
+def test_trigrams_of_copies_and_unlike_names(spark):
+    """Matches equal those of all pairs; copies of a name and names that share only frequent trigrams are not paired."""
+    rnd = random.Random(41)
+    words = ["red", "green", "blue", "tin", "steel", "brass", "old", "new"]
+    some = [(k, " ".join(rnd.choice(words) for _ in range(3))) for k in range(150)] + [(900, ""), (901, "é"), (902, None)]
+    names = spark.createDataFrame(some, "key long, name string")
+    asked = spark.createDataFrame([(n,) for _, n in some[::10] if n is not None] + [("",), ("zzz",)], "q string").distinct()
+    grams = lambda x: {f[i : i + 3] for f in [f" {x.replace('é', 'e')} "] for i in range(max(len(f) - 2, 1))}
+    over = lambda x, y: len(grams(x) & grams(y)) / len(grams(x) | grams(y))
+    for least in (0.3, 0.6, 1.0):
+        got = sorted((r["q"], r["key"], round(r["overlap"], 9)) for r in search.trigram_matches(asked, names, "key", "name", "q", least).collect())
+        assert got == sorted((r["q"], k, round(over(r["q"], n), 9)) for r in asked.collect() for k, n in some if n is not None and over(r["q"], n) >= least)
+    copies = spark.range(3000).select(F.col("id").alias("key"), F.concat(F.lit("spring green part "), F.col("id") % 3).alias("name"))
+    assert rows_of_joins(search.trigram_matches(copies.select(F.col("name").alias("q")).distinct(), copies, "key", "name", "q", 0.9)) <= 9000
+
+
 def test_stored_artefacts(spark, tmp_path):
     from folioforge.sources import artefacts
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold, tokens, unaccent
+from .joins import spread
 
 
 def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -53,12 +54,26 @@ def trigrams(x: Column) -> Column:
 
 
 def trigram_matches(queries: DataFrame, names: DataFrame, key: str, name: str, query: str, least: float = 0.3) -> DataFrame:
-    """query, key, name, overlap (shared over all trigrams) of names that share at least ``least``."""
-    a = queries.select(query, trigrams(F.col(query)).alias("__a")).withColumn("__n", F.size("__a"))
-    b = names.select(key, name, trigrams(F.col(name)).alias("__b")).withColumn("__m", F.size("__b"))
-    met = a.withColumn("__g", F.explode("__a")).join(b.withColumn("__g", F.explode("__b")), "__g")
-    out = met.groupBy(query, key, name, "__n", "__m").agg(F.count("*").alias("__s"))
-    return out.select(query, key, name, (F.col("__s") / (F.col("__n") + F.col("__m") - F.col("__s"))).alias("overlap")).where(F.col("overlap") >= least)
+    """query, key, name, overlap (shared over all trigrams) of names that share at least ``least`` (more than 0). A null name or query matches nothing.
+
+    Each distinct name is compared once. Two sets that share so much have one of their rarest trigrams in common, of all but as many as
+    must be shared of the set alone, and the smaller has at least ``least`` times as many trigrams: only such pairs are compared.
+    """
+    a = queries.where(F.col(query).isNotNull()).select(query).distinct().withColumn("__a", trigrams(F.col(query)))
+    b = names.where(F.col(name).isNotNull()).select(name).distinct().withColumn("__b", trigrams(F.col(name)))
+    seen = b.select(F.explode("__b").alias("__g")).groupBy("__g").agg(F.count("*").alias("__n"))  # at most 37 ** 3 trigrams of a-z, 0-9 and blank
+
+    def rarest(df: DataFrame, text: str, grams: str) -> DataFrame:
+        counted = df.select(text, F.explode(grams).alias("__g")).join(F.broadcast(seen), "__g", "left").groupBy(text).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__g").alias("g")))).alias("__o"))
+        size = F.size("__o")
+        few = F.slice("__o", F.lit(1), size - F.ceil(size * least - 1e-9).cast("int") + 1)
+        return counted.select(text, F.transform("__o", lambda x: x["g"]).alias(grams), size.alias(f"{grams}_n"), F.explode(few).alias("__x")).select(text, grams, f"{grams}_n", F.col("__x.g").alias("__g"))
+
+    n, m = F.col("__a_n"), F.col("__b_n")
+    met = rarest(a, query, "__a").join(rarest(b, name, "__b"), "__g").where((n >= m * least - 1e-9) & (m >= n * least - 1e-9))
+    shared = F.size(F.array_intersect("__a", "__b"))
+    like = met.withColumn("overlap", shared / (n + m - shared)).where(F.col("overlap") >= least).select(query, name, "overlap").distinct()
+    return like.join(spread(names.select(key, name), key), name).select(query, key, name, "overlap")
 
 
 def quantise(v: Column, scale: float = 127.0) -> Column:

@@ -352,6 +352,18 @@ def test_layout():
     assert layout.column_starts([], 1000)[1] is False
 
 
+def test_layout_of_small_pages_and_null_lines(spark, monkeypatch):
+    """Pages with too few boxes for a table are not clustered; pages without lines, and null texts, are pages."""
+    few = [((10, 20 * k, 90, 20 * k + 14), f"line {k}") for k in range(6)]
+    monkeypatch.setattr(layout, "cluster_rows", None)
+    assert layout.assemble(few, 1000, 1400)["n_tables"] == 0
+    monkeypatch.undo()
+    rows = [(1, 1000, 1400, few), (2, 1000, 1400, None), (3, 1000, 1400, []), (4, 1000, 1400, [((10, 20, 40, 34), "12"), ((10, 200, 40, 214), None)])]
+    pages = spark.createDataFrame(rows, "k long, w int, h int, lines array<struct<bbox array<int>, text string>>").coalesce(1)
+    got = {r["k"]: (r["printed"], r["n_tables"], r["plate"], r["text"], r["table_boxes"]) for r in layout.assemble_pages(pages, ["k"]).collect()}
+    assert got == {1: (None, 0, True, "", []), 2: (None, 0, True, "", []), 3: (None, 0, True, "", []), 4: (12, 0, True, "", [])}
+
+
 def test_similarity(spark):
     name = lambda *xs: spark.createDataFrame([(x,) for x in xs], "name string")
     got = {tuple(r) for r in similar.pair_within_blocks(name("ABBEVILLE", "BATH", "CAMBRIDGESHIRE"), name("ABBEVILE", "BATH", "CAMBRIDGE"), "name").collect()}

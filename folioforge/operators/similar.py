@@ -144,7 +144,7 @@ def within_edits(words: DataFrame, word: str, limit) -> DataFrame:
     return met.withColumn("edits", F.levenshtein("asked", "word")).where(F.col("edits") <= limit(F.col("asked")))
 
 
-PAIRS_AT_ONCE = 2_000_000
+PAIRS_AT_ONCE, TOKENS_AT_ONCE = 2_000_000, 200_000
 
 
 def equal_runs(x: np.ndarray, y: np.ndarray, box: tuple, least: int) -> list[tuple[int, int, int]]:
@@ -246,12 +246,18 @@ def aligned_replacements(pairs: DataFrame, key: str, ours: str, other: str) -> D
     """key, place, our token, other token where the streams differ in exactly one token on either side."""
     kind = pairs.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for k, a, b in zip(pdf[key], pdf[ours], pdf[other], strict=True):
-                x, y = (a or "").split(), (b or "").split()
-                out += [(k, i, x[i], y[j]) for i, j in replacements(x, y)]
-            yield pd.DataFrame(out, columns=[key, "place", "ours", "theirs"])
-
-    return pairs.select(key, ours, other).mapInPandas(run, f"`{key}` {kind}, place int, ours string, theirs string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, x_of, y_of = batch.columns
+            at = 0
+            while at < len(keys):  # texts become tokens one pair at a time, and results go on every TOKENS_AT_ONCE tokens
+                out, seen, first = [], 0, at
+                while at < len(keys) and seen < TOKENS_AT_ONCE:
+                    x, y = ((c[at].as_py() or "").split() for c in (x_of, y_of))
+                    out += [(at - first, i, x[i], y[j]) for i, j in replacements(x, y)]
+                    seen, at = seen + len(x) + len(y), at + 1
+                which, place, ours_, theirs = zip(*out, strict=True) if out else ((), (), (), ())
+                got = keys.slice(first, at - first).take(pa.array(which, pa.int64()))
+                yield pa.RecordBatch.from_arrays([got, pa.array(place, pa.int32()), pa.array(ours_, pa.string()), pa.array(theirs, pa.string())], names=[key, "place", "ours", "theirs"])
+
+    return pairs.select(key, ours, other).mapInArrow(run, f"`{key}` {kind}, place int, ours string, theirs string")

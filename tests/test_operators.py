@@ -372,6 +372,14 @@ def test_similarity(spark):
     assert [tuple(r) for r in fixed] == [(1, 1, "villnge", "village")]
 
 
+def test_replacements_in_slices(spark):
+    """A batch with more tokens than are held at once gives the same rows, each with its own key."""
+    assert similar.TOKENS_AT_ONCE == 200_000
+    rows = [(k, " ".join(f"w{i}" for i in range(30_000)), " ".join("x" if i == 7 * k + 3 else f"w{i}" for i in range(30_000))) for k in range(9)] + [(None, "a b c", "a d c"), (10, "", None)]
+    got = similar.aligned_replacements(spark.createDataFrame(rows, "k int, a string, b string").coalesce(1), "k", "a", "b").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(k, 7 * k + 3, f"w{7 * k + 3}", "x") for k in range(9)] + [(None, 1, "b", "d")], key=repr)
+
+
 def test_pairs_across_blocks(spark):
     name = lambda *xs: spark.createDataFrame([(x,) for x in xs], "name string")
     left, right = name("XABBEVILLE", "YABBEVILLE", "QLONDON", "ELSEWHERE", "PERTHSHIRE"), name("ABBEVILLE", "LONDON", "NELSEWHERES", "XPERTHSHIREX")

@@ -1,9 +1,11 @@
 """Operators on small cases, and against brute force."""
 
+import itertools
 import math
 import random
 import re
 import statistics
+import time
 from difflib import SequenceMatcher
 
 import pytest
@@ -402,6 +404,35 @@ def test_closest_as_brute_force():
         assert [close.take(n, 0.82, 6) for n in sorted(asked)] == out
 
 
+def test_pairs_as_greedy_brute_force(spark):
+    r = random.Random(17)
+    word = lambda: r.choice("abä") + "".join(r.choice("bcde") for _ in range(r.randint(3, 9)))
+    left = sorted({word() for _ in range(90)} | {f"z{n} plate" for n in range(9)} | {"y", "same", "e\u0301t\u00e9"})
+    right = {w[: (at := r.randint(0, len(w)))] + r.choice("cde") + w[at:] for w in left for _ in range(r.choice((0, 1, 1, 2)))} | {word() for _ in range(30)} | {f"z{n} xplate" for n in range(11)} | {"yy", "same"}
+    want, free, asked = {(n, n, "exact") for n in right & set(left)}, sorted(right - set(left)), [n for n in left if n not in right]
+    for n in asked:
+        block = [m for m in free if m[:1] == n[:1]]
+        best = max(((similar.ratio(n, m), m) for m in block), default=(0.0, ""))
+        hit = (best[1], "ratio") if best[0] >= 0.82 else next(((m, "contained") for m in block if min(len(m), len(n)) >= 6 and (m in n or n in m)), None)
+        if hit:
+            free.remove(hit[0])
+            want.add((n, *hit))
+    names = lambda x: spark.createDataFrame([(n,) for n in x], "name string")
+    got = {tuple(x) for x in similar.pair_within_blocks(names(left), names(sorted(right)), "name").collect()}
+    assert {x for x in got if x[2] != "contained_across"} == want and sum(x[2] == "ratio" for x in want) > 40
+    assert {x[2] for x in want} >= {"exact", "ratio"}
+
+
+def test_copies_by_a_letter_are_not_compared_with_all(spark):
+    # 4,000 names of the same letters: all of their copies have the same letters in common with each, so nothing short of the order tells them apart
+    names = ["k" + "".join(p) for p in itertools.islice(itertools.permutations("abcdefgh"), 4000)]
+    df = lambda x: spark.createDataFrame([(n,) for n in x], "name string")
+    began = time.monotonic()
+    got = {tuple(x) for x in similar.pair_within_blocks(df(names), df([n[:5] + "x" + n[5:] for n in names]), "name").collect()}
+    assert got == {(n, n[:5] + "x" + n[5:], "ratio") for n in names}
+    assert time.monotonic() - began < 90
+
+
 def test_similarity_pairs_takes_every_part(spark):
     sf = "/root/testdata/sf0.001"
     got = QUERIES["similarity_pairs"](spark, sf).collect()

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 # The grammar of headwords, references, markers and stamps.
 CAPS = "A-ZÀ-Þ"
 HEAD = rf"^([{CAPS}][{CAPS}0-9 .'’\-]*?(?: \([^)]*\))?)\s*([,.])\s+(.+)$"
+HEAD_START = rf"^[{CAPS}][{CAPS}0-9 .,'’\-\s]"  # the first two letters of all that HEAD matches
 STANDALONE = rf"^([{CAPS}][{CAPS}0-9 .'’\-]*?(?: \([^)]*\))?)[,.]?$"
 SEE = rf"\bSee\s+(?:also\s+)?([{CAPS}][A-Za-zÀ-ÿ .'()\-,&]*?)\.?\s*$"
 SEE_START = rf"^\s*(?:or [^.]+\.\s*)?See\s+[{CAPS}]"
@@ -18,6 +21,9 @@ TABLE_PROMISE = r"(?i)\b(?:following|subjoined|annexed|above|below)\s+table\b|\b
 PAGE_MARK = r"^## p\. (\S+) \(#(\d+)\)"
 STAMP = r"(?i)digiti[sz]ed by go\w+|^goo\w+$|original from|(?:uni)?versity of min\w*|^y? ?of minnesot\w*|received on board|homeward voyage|^(?:orders|landed|sailed)[.,]?$"
 COLOPHON = r"(?i)fullarton|gazetteer of the world|dictionary of geograph|newgate street|eustace street|leith walk|stead.?s place|\bprinters\b"
+# What each match of STAMP or COLOPHON has, in small letters, at the start of the text or anywhere.
+MARK_STARTS = ("goo", "orders", "landed", "sailed")
+MARK_WORDS = ("digiti", "original from", "versity of min", "of minnesot", "received on board", "homeward voyage", "fullarton", "gazetteer of the world", "dictionary of geograph", "newgate street", "eustace street", "leith walk", "s place", "printers")
 INLINE_HEAD = rf"(?<=[a-zà-ÿ] )[{CAPS}]{{3,}}[{CAPS} '’\-]*\.\s+(?=[a-zà-ÿ])"
 COMPASS = ("N", "S", "E", "W", "NE", "NW", "SE", "SW", "NNE", "NNW", "SSE", "SSW", "ENE", "ESE", "WNW", "WSW")
 COLUMN_WORDS = ("VALUE", "VALUES", "IMPORTS", "EXPORTS", "TOTAL", "TOTALS", "AMOUNT", "AMOUNTS", "QUANTITY", "QUANTITIES", "NUMBER", "NUMBERS", "REVENUE", "EXPENDITURE", "POPULATION", "TONS", "ARTICLES", "COMMODITIES", "DESCRIPTION")
@@ -64,15 +70,37 @@ def is_false_headword(x: Column) -> Column:
     return key.isin(*COMPASS, *COLUMN_WORDS) | key.rlike("^[IVXLCDM]+$") | x.rlike(r"^(?:[IVXLCDM]{1,5}|\d{1,3})\.\s") | x.rlike(r"(.)\1{7,}") | numbered
 
 
+def may_be_marked(x: Column) -> Column:
+    """Whether a text has words without which neither STAMP nor COLOPHON matches: far cheaper than these, which few texts then need. The text
+    is put in small letters once, as the one item of an array."""
+    has = lambda low: reduce(or_, [*(F.startswith(low, F.lit(w)) for w in MARK_STARTS), *(F.contains(low, F.lit(w)) for w in MARK_WORDS)])
+    return F.exists(F.array(F.lower(x)), has)
+
+
+def is_stamp(x: Column) -> Column:
+    return may_be_marked(x) & x.rlike(STAMP)
+
+
+def is_mark(x: Column) -> Column:
+    """Whether a line holds a stamp or a colophon."""
+    return may_be_marked(x) & (x.rlike(STAMP) | x.rlike(COLOPHON))
+
+
+def is_number(line: Column) -> Column:
+    """Whether a line is one to four digits (and perhaps a line end); long lines are not read."""
+    return (F.length(line) <= 6) & line.rlike(r"^\d{1,4}$")
+
+
 def classify_line(line: Column) -> Column:
-    """struct<headword, delim, rest, kind> of a line that starts an entry or a reference; null of others."""
+    """struct<headword, delim, rest, kind> of a line that starts an entry or a reference; null of others. Only lines whose first two letters
+    can start a headword are read whole."""
     head, delim, rest = (F.regexp_extract(line, HEAD, k) for k in (1, 2, 3))
     head, body = F.trim(head), F.ltrim(rest)
     named = (head != "") & head.rlike(f"[{CAPS}]{{2}}") & (F.length(F.regexp_replace(head, r"[^\p{L}]", "")) >= 3) & ~is_false_headword(head)
     tail = F.regexp_replace(body, r"[ .]+$", "")
     bare = tail.rlike(f"[{CAPS}]{{2}}") & ~tail.rlike("[a-zà-ÿ]") & (F.length(F.regexp_replace(tail, r"[^\p{L}]", "")) >= 3)
     kind = F.when(body.rlike(SEE_START), "crossref").when((delim == ".") & bare, "crossref").when((delim == ",") & body.rlike(r"^\p{Ll}"), "entry")
-    return F.when(named & kind.isNotNull(), F.struct(head.alias("headword"), delim.alias("delim"), rest.alias("rest"), kind.alias("kind")))
+    return F.when(line.substr(1, 2).rlike(HEAD_START) & named & kind.isNotNull(), F.struct(head.alias("headword"), delim.alias("delim"), rest.alias("rest"), kind.alias("kind")))
 
 
 def see_target(x: Column) -> Column:
@@ -81,9 +109,10 @@ def see_target(x: Column) -> Column:
 
 def scrub(x: Column) -> Column:
     """Runs of a repeated letter, corrupt dates, stamps, colophons and running heads within a sentence taken out."""
-    for pattern, to in ((r"(.)\1{7,}", "$1"), (r"(?:[-–]\d{1,4}){3,}", ""), (STAMP, ""), (COLOPHON, ""), (INLINE_HEAD, "")):
-        x = F.regexp_replace(x, pattern, to)
-    return F.trim(F.regexp_replace(x, r"\s{2,}", " "))
+    x = F.regexp_replace(F.regexp_replace(x, r"(.)\1{7,}", "$1"), r"(?:[-–]\d{1,4}){3,}", "")
+    unmarked = lambda v: F.when(may_be_marked(v), F.regexp_replace(F.regexp_replace(v, STAMP, ""), COLOPHON, "")).otherwise(v)
+    x = F.get(F.transform(F.array(x), unmarked), F.lit(0))
+    return F.trim(F.regexp_replace(F.regexp_replace(x, INLINE_HEAD, ""), r"\s{2,}", " "))
 
 
 def strip_parenthetical(x: Column) -> Column:
@@ -118,7 +147,7 @@ def title_name(x: Column) -> Column:
 def page_mark(line: Column) -> Column:
     """struct<printed int, idx int>, null where the line is no page mark; a printed page that is no number is null."""
     idx = F.regexp_extract(line, PAGE_MARK, 2)
-    return F.when(idx != "", F.struct(F.regexp_extract(line, PAGE_MARK, 1).try_cast("int").alias("printed"), idx.cast("int").alias("idx")))
+    return F.when(F.startswith(line, F.lit("## p. ")) & (idx != ""), F.struct(F.regexp_extract(line, PAGE_MARK, 1).try_cast("int").alias("printed"), idx.cast("int").alias("idx")))
 
 
 def volume_tag(name: Column) -> Column:

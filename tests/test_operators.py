@@ -58,6 +58,25 @@ def test_fold_is_idempotent(spark, xs):
     assert all(a == b for a, b in got)
 
 
+def test_cheap_looks_before_patterns_lose_nothing(spark):
+    r = random.Random(5)
+    bits = ["Digitised by Google", "GOOGLE", "goo", "good", "Original From", "UNIVERSITY of Minnesota", "y of minnesota", "Of Minnesota", "received ON board", "Homeward voyage", "orders.", "Landed", "sailed,", "Fullarton", "gazetteer of the world", "Dictionary of Geography",
+            "newgate street", "EUSTACE street", "leith walk", "stead’s place", "Stead place", "printers", "imprinters", "\u0130\u212a", "ſ", "é", "12", "1234", "12345", "999\r", "## p. 7 (#9)", "## p. x (#9)", "##  p. 7 (#9)", "AB", "A, b", "ÀB. See CD", "ABC, a town", "A\tBC, a town", "A", "", "a-", "a-.", "-1-2-3-4", "x" * 9]
+    lines = [*bits, None, *("".join(r.choice((b, b.upper(), b.lower())) + r.choice(("", " ", "  ", "\n")) for b in r.choices(bits, k=r.randint(2, 4))) for _ in range(1500))]
+    x, plain = F.col("x"), F.col("x")
+    for pattern, to in ((r"(.)\1{7,}", "$1"), (r"(?:[-–]\d{1,4}){3,}", ""), (text.STAMP, ""), (text.COLOPHON, ""), (text.INLINE_HEAD, "")):
+        plain = F.regexp_replace(plain, pattern, to)
+    same = {
+        "scrub": (text.scrub(x), F.trim(F.regexp_replace(plain, r"\s{2,}", " "))), "stamp": (text.is_stamp(x), x.rlike(text.STAMP)), "mark": (text.is_mark(x), x.rlike(text.STAMP) | x.rlike(text.COLOPHON)),
+        "number": (text.is_number(x), x.rlike(r"^\d{1,4}$")), "page": (text.page_mark(x).isNull(), ~x.rlike(text.PAGE_MARK) | x.isNull()), "start": (x.substr(1, 2).rlike(text.HEAD_START) | ~x.rlike(text.HEAD), x.isNull() | F.lit(True)),
+    }
+    df = spark.createDataFrame([(n,) for n in lines], "x string")
+    for name, (a, b) in same.items():
+        ask = df if name != "start" else df.where("x IS NOT NULL")
+        assert [tuple(y) for y in ask.where(~a.eqNullSafe(b)).collect()] == [], name
+    assert df.where(text.is_mark(x)).count() > 500 and df.where(~text.may_be_marked(x)).count() > 20
+
+
 def test_fold_entries(spark):
     volume = "\n".join([
         "## p. 12 (#20) ####", "<!-- table bbox=[1, 2, 3, 4] -->", "preface lost", "MALABAR, a district of India, on the W coast of the penin-", "sula. Pop. 657.",
